@@ -7,7 +7,7 @@ counted with map-side combination, and each level of blocks is ordered within it
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,21 +22,22 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
-def _starts(sizes: DataFrame, group: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Add ``__start``, the size of all blocks before a block, one level of the names at a time."""
+def _starts(sizes: DataFrame, group: Sequence[str], names: Sequence[str], outs: Sequence[str]) -> DataFrame:
+    """Turn block sizes into the size of all blocks before, one level of the names at a time."""
     *prefix, last = names
     before = (
         Window.partitionBy(*group, *prefix)
         .orderBy(F.asc_nulls_first(last))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = sizes.withColumn("__start", F.coalesce(F.sum("__size").over(before), F.lit(0)))
+    starts = {o: F.coalesce(F.sum(o).over(before), F.lit(0)) for o in outs}
+    placed = sizes.select(*group, *names, *[c.alias(o) for o, c in starts.items()])
     if not prefix:
         return placed
-    parents = _starts(sizes.groupBy(*group, *prefix).agg(F.sum("__size").alias("__size")), group, prefix)
-    parents = parents.select(*group, *prefix, F.col("__start").alias("__parent"))
+    parents = _starts(sizes.groupBy(*group, *prefix).agg(*[F.sum(o).alias(o) for o in outs]), group, prefix, outs)
+    parents = parents.withColumnsRenamed({o: f"__parent_{o}" for o in outs})
     joined = null_safe_join(placed, parents, [*group, *prefix], "inner")
-    return joined.withColumn("__start", F.col("__parent") + F.col("__start")).drop("__parent")
+    return joined.select(*group, *names, *[(F.col(o) + F.col(f"__parent_{o}")).alias(o) for o in outs])
 
 
 def rows_before(
@@ -44,23 +45,22 @@ def rows_before(
     group: Sequence[str],
     blocks: Sequence[tuple[str, Column]],
     order: Sequence[Column],
-    out: str,
-    weight: Column | None = None,
+    outs: Mapping[str, Column],
 ) -> DataFrame:
-    """Add the summed weight (default 1 each) of the rows ordered before a row in its group.
+    """Add ``{name: summed weight of the rows ordered before a row in its group}``.
 
     ``blocks`` are (name, ascending sort key) pairs that lead the order; ``order`` sorts a block.
+    A weight of 1 counts rows.
     """
     names = [name for name, _ in blocks]
-    weighted = df.withColumns({**dict(blocks), "__weight": F.lit(1) if weight is None else weight})
+    weighted = df.withColumns({**dict(blocks), **outs})
     inside = Window.partitionBy(*group, *names).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = weighted.groupBy(*group, *names).agg(F.sum("__weight").alias("__size"))
-    starts = _starts(sizes, group, names).drop("__size")
-    placed = weighted.withColumn("__inside", F.coalesce(F.sum("__weight").over(inside), F.lit(0)))
-    return (
-        null_safe_join(placed, starts, [*group, *names], "inner")
-        .withColumn(out, F.col("__start") + F.col("__inside"))
-        .drop("__weight", "__inside", "__start", *[n for n in names if n not in df.columns])
+    sizes = weighted.groupBy(*group, *names).agg(*[F.sum(o).alias(o) for o in outs])
+    starts = _starts(sizes, group, names, list(outs)).withColumnsRenamed({o: f"__start_{o}" for o in outs})
+    placed = weighted.withColumns({o: F.coalesce(F.sum(o).over(inside), F.lit(0)) for o in outs})
+    joined = null_safe_join(placed, starts, [*group, *names], "inner")
+    return joined.withColumns({o: F.col(o) + F.col(f"__start_{o}") for o in outs}).drop(
+        *[f"__start_{o}" for o in outs], *[n for n in names if n not in df.columns]
     )
 
 
@@ -75,7 +75,7 @@ def dense_ranks(values: DataFrame, group: Sequence[str], value: str, out: str, b
         group,
         blocks=[("__block", -F.floor(F.col(value) / F.lit(block_width)))],
         order=[F.desc(value)],
-        out="__before",
+        outs={"__before": F.lit(1)},
     )
     return ranked.select(*group, value, (F.col("__before") + 1).cast("int").alias(out))
 

@@ -103,9 +103,8 @@ def player_order(regulars: DataFrame) -> DataFrame:
         ("__share", -F.floor(F.col("avg_snap") * 100)),
     ]
     order = [F.desc("avg_snap"), F.asc("player_name")]
-    counted = rows_before(players, ["season"], blocks, order, "row_index")
-    expanded = rows_before(counted, ["season"], blocks, order, "expanded_index", weight=1 + _metric_rows_of())
-    return expanded.select(
+    sizes = {"row_index": F.lit(1), "expanded_index": 1 + _metric_rows_of()}
+    return rows_before(players, ["season"], blocks, order, sizes).select(
         "season",
         F.col("player_name").alias("composite_label"),
         "player_name",

@@ -159,15 +159,23 @@ REPORT_COLUMNS = list(_REPORT)
 SORT_COLUMNS = ["season", "week", "team", "position", "player_name"]
 
 PLAYER_GAME = ["game_id", "season", "week", "gsis_id", "team"]
-RECEPTION_STATS = [
-    "receptions",
-    "targets",
-    "receiving_yards",
-    "receiving_air_yards",
-    "receiving_yac",
-    "receiving_touchdowns",
-    "receiving_first_downs",
-    "receiving_2pt_conversions",
+PLAY_COLUMNS = [
+    "game_id",
+    "season",
+    "week",
+    "posteam",
+    "pass_attempt",
+    "complete_pass",
+    "pass_touchdown",
+    "interception",
+    "first_down_pass",
+    "rush_attempt",
+    "rush_touchdown",
+    "first_down_rush",
+    "yards_gained",
+    "air_yards",
+    "yards_after_catch",
+    "two_point_conv_result",
 ]
 
 
@@ -288,34 +296,33 @@ def player_game_stats(plays: DataFrame) -> DataFrame:
     role the player did not have stay NULL. A NULL key never matches in such a join, so those
     rows stay apart by role.
     """
-    roles = {
-        "pass": ("passer_player_id", passing_aggregates),
-        "receive": ("receiver_player_id", receiving_aggregates),
-        "rush": ("rusher_player_id", rushing_aggregates),
-    }
-    candidates = F.array(
-        *[F.struct(F.lit(role).alias("role"), F.col(pid).alias("gsis_id")) for role, (pid, _) in roles.items()]
-    )
-    acting = plays.withColumn("actor", F.explode(F.filter(candidates, lambda a: a["gsis_id"].isNotNull())))
+    roles = [
+        ("passer_player_id", passing_aggregates),
+        ("receiver_player_id", receiving_aggregates),
+        ("rusher_player_id", rushing_aggregates),
+    ]
+    filled = F.stack(F.lit(len(roles)), *[c for i, (pid, _) in enumerate(roles) for c in (F.lit(i), F.col(pid))])
+    acting = plays.select(*PLAY_COLUMNS, filled.alias("role", "actor")).where(F.col("actor").isNotNull())
     unmatched = reduce(
         lambda a, b: a | b, [F.col(k).isNull() for k in ("game_id", "season", "week", "posteam")]
     )
     aggregates: list[Column] = []
-    for role, (_, stats) in roles.items():
-        on = F.col("actor.role") == role
+    for role, (_, stats) in enumerate(roles):
+        on = F.col("role") == role
         present = F.count(F.when(on, F.lit(1))) > 0
         aggregates += [F.when(present, c).alias(name) for name, c in stats(on).items()]
     per_player = acting.groupBy(
         "game_id",
         "season",
         "week",
-        F.col("actor.gsis_id").alias("gsis_id"),
+        F.col("actor").alias("gsis_id"),
         F.col("posteam").alias("team"),
-        F.when(unmatched, F.col("actor.role")).alias("__apart"),
+        F.when(unmatched, F.col("role")).alias("__apart"),
     ).agg(*aggregates)
-    # At most a roster per group: the plays are already summed up per player.
-    team_game = Window.partitionBy("game_id", "team")
+    # At most a roster per group: the plays are already summed up per player, and rows without a
+    # game or team, which have no team total, are spread by player.
     known = F.col("game_id").isNotNull() & F.col("team").isNotNull()
+    team_game = Window.partitionBy("game_id", "team", F.when(~known, F.col("gsis_id")))
     return (
         per_player.drop("__apart")
         .withColumn("team_targets", F.when(known, F.sum("targets").over(team_game)))

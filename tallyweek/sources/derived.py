@@ -178,22 +178,24 @@ DERIVATIONS = {
 
 
 class League:
-    """The derived tables of one data folder, each a lazy DataFrame."""
+    """The derived tables of one data folder, each a lazy DataFrame built on first use."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._tables:
+            self._tables[table] = self._build(table)
+        return self._tables[table]
+
+    def _build(self, table: str) -> DataFrame:
+        if table not in DERIVATIONS:
+            return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
         text = DERIVATIONS[table]
         needed = ("lineitem", "orders", "customer", "plays")
-        sources = {name: self._source(name) for name in needed if "{" + name + "}" in text}
-        return self.spark.sql(text, **sources)
-
-    def _source(self, name: str) -> DataFrame:
-        if name in DERIVATIONS:
-            return self[name]
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.sql(text, **{name: self[name] for name in needed if "{" + name + "}" in text})
 
 
 def portable_with(*tables: str) -> str:
