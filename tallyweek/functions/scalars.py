@@ -35,6 +35,16 @@ def fallback_blank(value: Column, fallback: Column) -> Column:
     return F.coalesce(F.nullif(value, F.lit("")), fallback)
 
 
+def person_key(name: Column, *ids: tuple[str, Column]) -> Column:
+    """A person's first known id, else the name, each marked by its kind; the first id is bare.
+
+    As a join and window key it keeps people without an id apart, where NULL would pool them in
+    one partition and one history.
+    """
+    (_, first), *others = ids
+    return F.coalesce(first, *[F.concat(F.lit(kind + ":"), c) for kind, c in others], F.concat(F.lit("name:"), name))
+
+
 def position_order(position: Column) -> Column:
     order = F.lit(OTHER_POSITION_ORDER)
     for name, place in POSITION_ORDER.items():

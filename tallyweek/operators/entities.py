@@ -20,7 +20,7 @@ def bridge_id(df: DataFrame, players: DataFrame, left: str, right: str, how: str
 
 def min_appearances(df: DataFrame, keys: Sequence[str], counted: str, at_least: int) -> DataFrame:
     """Rows of the keys that have at least so many non-NULL ``counted`` values."""
-    frequent = df.groupBy(*keys).agg(F.count(counted).alias("n")).where(F.col("n") >= at_least).select(*keys)
+    frequent = df.groupBy(*keys).agg(F.count(counted).alias("__n")).where(F.col("__n") >= at_least).select(*keys)
     return df.join(frequent, on=list(keys), how="left_semi")
 
 

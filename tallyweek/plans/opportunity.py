@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweek.functions.aggregates import count_where, sum_or_zero, sum_where
-from tallyweek.functions.scalars import fallback_blank, or_zero, safe_div
+from tallyweek.functions.scalars import fallback_blank, or_zero, person_key, safe_div
 from tallyweek.operators.change import change
 from tallyweek.operators.entities import bridge_id
 from tallyweek.operators.ranking import with_dense_rank
@@ -190,9 +190,7 @@ def with_player_ids(snaps: DataFrame, players: DataFrame) -> DataFrame:
     people in one change history nor pile up in one partition of the joins that follow.
     """
     mapped = bridge_id(snaps, players.select("gsis_id", "pfr_id"), "pfr_player_id", "pfr_id")
-    key = F.coalesce(
-        F.col("gsis_id"), F.concat(F.lit("pfr:"), "pfr_player_id"), F.concat(F.lit("name:"), "player")
-    )
+    key = person_key(F.col("player"), ("gsis", F.col("gsis_id")), ("pfr", F.col("pfr_player_id")))
     return mapped.withColumn("player_key", key)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.functions.aggregates import avg_where, count_where, sum_or_zero
-from tallyweek.functions.scalars import clip, or_zero, safe_div
+from tallyweek.functions.scalars import clip, or_zero, person_key, safe_div
 from tallyweek.operators.change import change
 from tallyweek.operators.schema import first_available
 from tallyweek.plans.team_games import team_game_ids, team_passing_totals
@@ -203,7 +203,7 @@ def with_fantasy(df: DataFrame) -> DataFrame:
 def with_changes(df: DataFrame) -> DataFrame:
     return change(
         df,
-        ["pfr_player_id", "team", "season"],
+        ["player_key", "team", "season"],
         ["week", "game_id"],
         {
             "passing_yards": "wow_yards_change",
@@ -215,20 +215,23 @@ def with_changes(df: DataFrame) -> DataFrame:
 
 def qb_report(player_stats: DataFrame, plays: DataFrame | None = None) -> DataFrame:
     """Without plays the game id is blank and the play metrics are NULL."""
-    rows = quarterbacks(player_stats)
+    rows = quarterbacks(player_stats).withColumn(
+        "player_key", person_key(F.col("player"), ("id", F.col("pfr_player_id")))
+    )
     totals = team_passing_totals(player_stats)
     if plays is None:
         joined = rows.join(totals, on=TEAM_WEEK, how="left").withColumns(
             {"game_id": F.lit(""), **{name: F.lit(None).cast("double") for name in PLAY_METRICS}}
         )
     else:
-        metrics = play_metrics(plays).withColumnRenamed("player_id", "pfr_player_id")
+        # The metrics join and the change window share one shuffle of the rows on player and season.
+        shared = ["player_key", "season"]
+        metrics = play_metrics(plays).withColumnRenamed("player_id", "player_key").repartition(*shared)
         joined = (
             rows.join(team_game_ids(plays), on=TEAM_WEEK, how="left")
             .join(totals, on=TEAM_WEEK, how="left")
-            # The metrics join and the change window then share this one shuffle.
-            .repartition("pfr_player_id", "season")
-            .join(metrics, on=["game_id", "season", "week", "pfr_player_id", "team"], how="left")
+            .repartition(*shared)
+            .join(metrics, on=["game_id", "season", "week", "player_key", "team"], how="left")
         )
     measured = with_team_shares(with_efficiency(joined)).withColumn("passer_rating", passer_rating())
     return with_changes(with_fantasy(measured)).withColumnRenamed("attempts", "pass_attempts").select(*REPORT_COLUMNS)

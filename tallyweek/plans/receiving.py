@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.functions.scalars import safe_div
+from tallyweek.functions.scalars import person_key, safe_div
 from tallyweek.operators.change import change
 from tallyweek.operators.schema import first_available
 from tallyweek.plans.team_games import team_games_with_dropbacks
@@ -57,10 +57,11 @@ def receiving_report(player_stats: DataFrame, team_stats: DataFrame, plays: Data
             {
                 "target_share": safe_div("targets", "team_pass_attempts"),
                 "targets_per_dropback": safe_div("targets", "team_dropbacks"),
+                "player_key": person_key(F.col("player"), ("id", F.col("pfr_player_id"))),
             }
         )
     )
     changed = change(
-        joined, ["pfr_player_id", "team", "season"], ["week", "game_id"], {"target_share": "wow_target_share_change"}
+        joined, ["player_key", "team", "season"], ["week", "game_id"], {"target_share": "wow_target_share_change"}
     )
     return changed.select(*REPORT_COLUMNS)

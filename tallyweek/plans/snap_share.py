@@ -58,8 +58,10 @@ def snap_grid(snaps: DataFrame) -> DataFrame:
 
 def snap_share_report(snaps: DataFrame) -> DataFrame:
     filled = gap_fill(snaps, KEYS, LABELS, "season", "week", GAP_VALUES)
-    # Two spellings of one id give two rows a week; the labels make their order repeatable.
-    changed = change(filled, KEYS, ["week", *LABELS], SHARE_CHANGES)
+    # People without an id are told apart by name. Two spellings of one id give two rows a week;
+    # the labels make their order repeatable.
+    unnamed = F.when(F.col("pfr_player_id").isNull(), F.col("player"))
+    changed = change(filled, [*KEYS, unnamed], ["week", *LABELS], SHARE_CHANGES)
     return changed.select([F.col(source).alias(name) for name, source in REPORT_COLUMNS])
 
 

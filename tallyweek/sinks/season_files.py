@@ -27,8 +27,10 @@ def write_by_season(df: DataFrame, folder: str, name: str, sort: Sequence[str],
     """
     observation = Observation()
     order = [PARTITION, *[c for c in sort if c != PARTITION]]
-    rows = df.withColumn(PARTITION, F.col("season")).observe(observation, F.count("*").alias("rows"))
-    writer = rows.orderBy(*order).write.mode("overwrite").partitionBy(PARTITION)
+    # Observed above the sort: what is below it also runs for the sampling of the range bounds.
+    rows = df.withColumn(PARTITION, F.col("season")).orderBy(*order)
+    rows = rows.observe(observation, F.count("*").alias("rows"))
+    writer = rows.write.mode("overwrite").partitionBy(PARTITION)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(f"{folder}/{name}")

@@ -56,7 +56,7 @@ FROM (SELECT *, home+CAST(l_linenumber % 2 AS INT) AS t
 
 SNAP_COUNTS = """
 SELECT concat(CAST(season AS STRING), '_', CAST(week AS STRING), '_T', CAST(home AS STRING), '_T', CAST(home+1 AS STRING)) AS game_id,
-  season, week, concat('Player ', CAST(p AS STRING), CASE WHEN p % 29 = 0 AND week % 2 = 0 THEN ' Jr.' ELSE '' END) AS player,
+  season, week, concat('Player ', CAST(p AS STRING), CASE WHEN p % 11 = 0 AND week % 2 = 0 THEN ' Jr.' ELSE '' END) AS player,
   concat('F', CAST(p AS STRING)) AS pfr_player_id,
   """ + POSITION_OF.format(p="p") + """ AS position,
   concat('T', CAST(t AS STRING)) AS team,

@@ -39,8 +39,12 @@ def read_parquet(spark: SparkSession, root: str, table: str, seasons: Seasons =
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV with a header and a given schema, so no pass over the data infers types."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+    """A CSV with a header and a given schema, so no pass over the data infers types.
+
+    A bare empty field is NULL and a quoted one the empty string; with Spark's default null
+    marker both would be NULL.
+    """
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, nullValue="\u0000")
 
 
 def read_optional(spark: SparkSession, root: str, table: str, seasons: Seasons = True) -> DataFrame:
