@@ -32,7 +32,7 @@ def is_blank(value: Column) -> Column:
 
 def fallback_blank(value: Column, fallback: Column) -> Column:
     """The value, or the fallback where the value is NULL or the empty string."""
-    return F.coalesce(F.nullif(value, F.lit("")), fallback)
+    return F.when(is_blank(value), fallback).otherwise(value)
 
 
 def person_key(name: Column, *ids: tuple[str, Column]) -> Column:

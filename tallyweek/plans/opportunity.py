@@ -158,6 +158,8 @@ REPORT_SCHEMA = struct_of(_REPORT)
 REPORT_COLUMNS = list(_REPORT)
 SORT_COLUMNS = ["season", "week", "team", "position", "player_name"]
 
+HISTORY = ["player_key", "season", "team"]
+HISTORY_ORDER = ["week", "game_id"]
 PLAYER_GAME = ["game_id", "season", "week", "gsis_id", "team"]
 PLAY_COLUMNS = [
     "game_id",
@@ -195,7 +197,7 @@ def with_player_ids(snaps: DataFrame, players: DataFrame) -> DataFrame:
 
 
 def snap_changes(snaps_with_ids: DataFrame) -> DataFrame:
-    changed = change(snaps_with_ids, ["player_key", "team", "season"], ["week", "game_id"], SHARE_CHANGES)
+    changed = change(snaps_with_ids, HISTORY, HISTORY_ORDER, SHARE_CHANGES)
     return changed.withColumnsRenamed(
         {
             "offense_pct": "offense_snap_share",
@@ -391,7 +393,7 @@ def scored_positions(
     )
     stats = player_game_stats(plays).withColumnRenamed("gsis_id", "player_key")
     positions = players.select(F.col("gsis_id").alias("player_key"), "position")
-    joined = base.join(stats, on=["player_key", "season", "week", "team", "game_id"], how="left")
+    joined = base.join(stats, on=[*HISTORY, *HISTORY_ORDER], how="left")
     return fantasy_points(joined.join(positions, on="player_key", how="left"), weights)
 
 
@@ -416,7 +418,8 @@ def opportunity_rows(
 ) -> DataFrame:
     """The report's rows before scoring and ranking."""
     # Opponents are filled while the rows are narrow. From the repartition on, the change window,
-    # the statistics join and the three tracking joins all work on (player_key, season).
+    # the statistics join and the three tracking joins all work on (player_key, season); window
+    # and statistics join also share their sort.
     base = fill_opponents(with_player_ids(snaps, players), game_opponents(plays))
     base = snap_changes(base.repartition("player_key", "season"))
     stats = player_game_stats(plays).withColumnRenamed("gsis_id", "player_key")
@@ -425,7 +428,7 @@ def opportunity_rows(
     profile = player_profile(players)
     profile = profile.drop("pfr_id").join(combine_by_player(combine, players), on="gsis_id", how="left")
 
-    joined = base.join(stats, on=["player_key", "season", "week", "team", "game_id"], how="left")
+    joined = base.join(stats, on=[*HISTORY, *HISTORY_ORDER], how="left")
     joined = join_tracking(joined, tables, "player_key")
     return joined.join(profile.withColumnRenamed("gsis_id", "player_key"), on="player_key", how="left")
 

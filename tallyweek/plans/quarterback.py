@@ -21,6 +21,8 @@ PLAY_METRICS = [
 ]
 TEAM_WEEK = ["season", "week", "team"]
 BIG_PLAY_YARDS = 20
+HISTORY = ["player_key", "season", "team"]
+HISTORY_ORDER = ["week", "game_id"]
 
 # Output columns in order.
 REPORT_COLUMNS = [
@@ -203,8 +205,8 @@ def with_fantasy(df: DataFrame) -> DataFrame:
 def with_changes(df: DataFrame) -> DataFrame:
     return change(
         df,
-        ["player_key", "team", "season"],
-        ["week", "game_id"],
+        HISTORY,
+        HISTORY_ORDER,
         {
             "passing_yards": "wow_yards_change",
             "total_tds": "wow_td_change",
@@ -224,14 +226,14 @@ def qb_report(player_stats: DataFrame, plays: DataFrame | None = None) -> DataFr
             {"game_id": F.lit(""), **{name: F.lit(None).cast("double") for name in PLAY_METRICS}}
         )
     else:
-        # The metrics join and the change window share one shuffle of the rows on player and season.
+        # The metrics join and the change window share one shuffle of the rows, and one sort.
         shared = ["player_key", "season"]
         metrics = play_metrics(plays).withColumnRenamed("player_id", "player_key").repartition(*shared)
         joined = (
             rows.join(team_game_ids(plays), on=TEAM_WEEK, how="left")
             .join(totals, on=TEAM_WEEK, how="left")
             .repartition(*shared)
-            .join(metrics, on=["game_id", "season", "week", "player_key", "team"], how="left")
+            .join(metrics, on=[*HISTORY, *HISTORY_ORDER], how="left")
         )
     measured = with_team_shares(with_efficiency(joined)).withColumn("passer_rating", passer_rating())
     return with_changes(with_fantasy(measured)).withColumnRenamed("attempts", "pass_attempts").select(*REPORT_COLUMNS)

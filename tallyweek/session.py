@@ -17,8 +17,17 @@ SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings. Shuffles start with at least three partitions per core, unless the
+    session says otherwise; AQE merges the ones that turn out small. For shuffles of many
+    terabytes set the number so that a partition holds a few hundred megabytes."""
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None and int(spark.conf.get("spark.sql.shuffle.partitions")) < cores:
+        spark.conf.set(INITIAL_PARTITIONS, str(3 * cores))
     return spark

@@ -155,3 +155,18 @@ def test_schema_adaptation(spark, frame):
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("c", T.DoubleType())])
     assert optional(None, schema, spark).schema == schema
     assert [tuple(r) for r in optional(df, schema).collect()] == [(1, None)]
+
+
+def test_people_without_an_id_keep_their_own_history(frame):
+    rows = [snap(1, 0.5, pid=None, player=p) for p in ("x", "y")] + [snap(2, 0.5, pid=None, player=p) for p in ("x", "y")]
+    report = snap_share_report(frame(SNAPS, rows))
+    got = sorted((r.player, r.week, r.offense_snap_share, r.wow_offense_snap_share_change) for r in report.collect())
+    # an id that is not known matches no observation, as in any join on it
+    assert got == [("x", 1, 0.0, None), ("x", 2, 0.0, 0.0), ("y", 1, 0.0, None), ("y", 2, 0.0, 0.0)]
+
+
+def test_session_settings(spark):
+    from tallyweek.session import INITIAL_PARTITIONS, SETTINGS
+
+    assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
+    assert spark.conf.get(INITIAL_PARTITIONS) == "24"
