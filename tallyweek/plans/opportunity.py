@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyweek.functions.aggregates import count_where, sum_or_zero, sum_where
+from tallyweek.functions.aggregates import count_where, sum_where
 from tallyweek.functions.scalars import fallback_blank, or_zero, person_key, safe_div
 from tallyweek.operators.change import change
 from tallyweek.operators.entities import bridge_id

@@ -1,7 +1,8 @@
 """League-shaped tables derived in SQL from the lineitem, orders and customer tables.
 
-There is no live feed, so the registered queries read these. The text runs unchanged in Spark SQL
-and in other SQL engines, which is what makes an independent check possible. Everything is integer
+There is no live feed, so the registered queries read these. The text runs in Spark SQL and (with
+one inner query spelled differently) in other SQL engines, which is what makes an independent
+check possible. Everything is integer
 arithmetic or multiples of a power of two, so sums are exact in any order.
 
 The league grows with the data: teams come from suppliers and players from customers, while a
@@ -100,12 +101,22 @@ SELECT season, week, pid AS player_id, concat('Player ', substring(pid, 2)) AS p
   sum(rus*rush_attempt) AS carries, sum(rus*rush_attempt*yards_gained) AS rushing_yards, sum(rus*rush_touchdown) AS rushing_tds,
   sum(rus*qb_scramble*first_down_rush) AS rushing_fumbles_lost, sum(pas*sack*qb_hit) AS sack_fumbles_lost,
   sum(rec*complete_pass) AS receptions, sum(rec*pass_attempt) AS targets
-FROM (SELECT *, passer_player_id AS pid, posteam AS team, CASE WHEN posteam = home_team THEN away_team ELSE home_team END AS opp, 1 AS pas, 0 AS rec, 0 AS rus FROM {plays}
-      UNION ALL SELECT *, receiver_player_id, posteam, CASE WHEN posteam = home_team THEN away_team ELSE home_team END, 0, 1, 0 FROM {plays}
-      UNION ALL SELECT *, rusher_player_id, posteam, CASE WHEN posteam = home_team THEN away_team ELSE home_team END, 0, 0, 1 FROM {plays}) x
+FROM ({roles}) x
 WHERE pid IS NOT NULL GROUP BY season, week, pid, team
 """
 
+# A row per play and filled role: one scan where the engine has a row generator, else a union.
+_SIDES = "*, posteam AS team, CASE WHEN posteam = home_team THEN away_team ELSE home_team END AS opp"
+ROLES_BY_STACK = (
+    f"SELECT {_SIDES}, stack(3, passer_player_id, 1, 0, 0, receiver_player_id, 0, 1, 0, rusher_player_id, 0, 0, 1)"
+    " AS (pid, pas, rec, rus) FROM {plays}"
+)
+ROLES_BY_UNION = (
+    f"SELECT {_SIDES}, passer_player_id AS pid, 1 AS pas, 0 AS rec, 0 AS rus FROM plays"
+    f" UNION ALL SELECT {_SIDES}, receiver_player_id, 0, 1, 0 FROM plays"
+    f" UNION ALL SELECT {_SIDES}, rusher_player_id, 0, 0, 1 FROM plays"
+)
+
 TEAM_STATS = """
 SELECT season, week, posteam AS team, sum(pass_attempt) AS attempts
 FROM {plays} WHERE posteam IS NOT NULL GROUP BY season, week, posteam
@@ -193,7 +204,7 @@ class League:
     def _build(self, table: str) -> DataFrame:
         if table not in DERIVATIONS:
             return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
-        text = DERIVATIONS[table]
+        text = DERIVATIONS[table].replace("{roles}", ROLES_BY_STACK)
         needed = ("lineitem", "orders", "customer", "plays")
         return self.spark.sql(text, **{name: self[name] for name in needed if "{" + name + "}" in text})
 
@@ -201,8 +212,8 @@ class League:
 def portable_with(*tables: str) -> str:
     """``WITH`` clause defining the tables over plain table names, in dependency order."""
     wanted = set(tables)
-    if any("{plays}" in DERIVATIONS[t] for t in wanted):
+    if any("{plays}" in DERIVATIONS[t] or "{roles}" in DERIVATIONS[t] for t in wanted):
         wanted.add("plays")
-    names = {"lineitem": "lineitem", "orders": "orders", "customer": "customer", "plays": "plays"}
+    names = {t: t for t in ("lineitem", "orders", "customer", "plays")} | {"roles": ROLES_BY_UNION}
     parts = [f"{name} AS ({text.format(**names)})" for name, text in DERIVATIONS.items() if name in wanted]
     return "WITH " + ",\n".join(parts)
