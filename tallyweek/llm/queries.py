@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import packing, repeats, simhash
+from tallyweek.llm import packing, repeats, simhash, warc
+from tallyweek.llm.shared import landed, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,25 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc_assembly(spark: SparkSession, folder: str) -> DataFrame:
+    archive = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    pages = _table(spark, folder, "pages")
+    warc.write_archive(pages, archive)
+    captures = warc.assemble(warc.read_records(spark, archive))
+    kind = pages.schema["page_id"].dataType
+    rows = captures.select(
+        "record_id", F.col("metadata")[0]["page_id"].cast(kind).alias("page_id"), "response.type", "response.refers_to",
+        "response.payload_bytes", "response.payload_digest",
+    )
+    rows = landed(rows, "captures")
+    responses = rows.where("type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("of_page"))
+    joined = rows.where("type = 'revisit'").join(responses, "refers_to", "left")
+    out = ["page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type")]
+    return joined.select(*out, F.col("of_page").alias("refers_to")).union(
+        rows.where("type = 'response'").select(*out, F.lit(None).cast(kind).alias("refers_to"))
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     placed = packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return placed.withColumnRenamed("id", "doc_id")
@@ -38,9 +59,20 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc_assembly": op1_warc_assembly,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc_assembly": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS stored FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id <> stored THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> stored THEN stored END AS refers_to
+FROM f
+""",
+}
