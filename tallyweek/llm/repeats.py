@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from tallyweek.llm.shared import landed, text_bytes, values
 
 LENGTH, GRAM = 400, 64
-#: Most different surroundings of one gram that are sorted together.
-BUCKET = 512
+#: Most different surroundings of one gram that are sorted together: about 5 MB and a few seconds of one task. Counting
+#: windows moves some eight times the bytes, so it is left to buckets that one task should not hold.
+BUCKET = 8192
 #: Window starts of a text that are handled at once; the places of a slice fit PLACE_BITS.
 SLICE, PLACE_BITS = 1 << 19, 20
 BASE = 0x9E3779B97F4A7C15
