@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import packing, repeats, simhash, warc
+from tallyweek.llm import crosspolytope, licences, packing, pieces, quality, repeats, secrets, simhash, warc
 from tallyweek.llm.shared import landed, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,11 +58,73 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    scorer = quality.fit(docs, labels.where(fold != 2))
+    rows = quality.score(docs, scorer).withColumnRenamed("id", "doc_id")
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return rows.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op7_crosspolytope_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = crosspolytope.near_vectors(_table(spark, folder, "embeddings"))
+    kept = F.col("id").eqNullSafe(F.col("component"))
+    return rows.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = secrets.find_secrets(_table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    base = F.filter("spans", lambda s: s["kind"] != "named")
+    return rows.select(
+        F.col("id").alias("doc_id"), count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_sentencepiece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pieces.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = licences.scan(_table(spark, folder, "documents"))
+    named = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["licence"])))
+    return rows.select(
+        F.col("id").alias("doc_id"), F.size("matches").cast("bigint").alias("n_units"), F.concat_ws(",", named).alias("licences"),
+        F.array_max(F.transform("matches", lambda m: m["dice"])).alias("best_dice"),
+    )
+
+
+def _licence_sql() -> str:
+    """Dice coefficients in SQL: a row per unit and template, without size bounds."""
+    lists = ", ".join(
+        f"('{name}', [{', '.join(chr(39) + pair + chr(39) for pair in licences.template_bigrams(text))}])" for name, text in licences.TEMPLATES.items()
+    )
+    return f"""
+WITH t(licence, pairs) AS (VALUES {lists}),
+u AS (SELECT DISTINCT doc_id, trim(regexp_replace(translate(unit, '{licences.CAPITALS}', '{licences.SMALL}'), '[^a-z0-9]+', ' ', 'g')) AS unit
+      FROM (SELECT doc_id, unnest(list_append(string_split(coalesce(text, ''), chr(10)), coalesce(text, ''))) AS unit FROM documents) x),
+w AS (SELECT doc_id, unit, string_split(unit, ' ') AS words FROM u WHERE unit LIKE '% %'),
+b AS (SELECT doc_id, unit, list_distinct([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS own FROM w WHERE len(words) <= 300),
+d AS (SELECT doc_id, unit, licence, 2.0::DOUBLE * len(list_intersect(own, pairs)) / (len(own) + len(pairs)) AS dice FROM b, t),
+m AS (SELECT doc_id, unit, max(dice) AS dice, arg_max(licence, (dice, -ord(licence))) AS licence FROM d WHERE dice >= 0.8 GROUP BY doc_id, unit)
+SELECT doc_id, count(m.unit) AS n_units, coalesce(string_agg(DISTINCT m.licence, ',' ORDER BY m.licence), '') AS licences, max(m.dice) AS best_dice
+FROM documents LEFT JOIN m USING (doc_id) GROUP BY doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_assembly": op1_warc_assembly,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op7_crosspolytope_near_dedup": op7_crosspolytope_near_dedup,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_sentencepiece_codec": op9_sentencepiece_codec,
+    "op10_licence_scan": op10_licence_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -75,4 +137,5 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id <> stored THEN stored END AS refers_to
 FROM f
 """,
+    "op10_licence_scan": _licence_sql(),
 }
