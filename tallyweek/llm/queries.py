@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import crosspolytope, licences, packing, pieces, quality, repeats, secrets, simhash, warc
+from tallyweek.llm import crosspolytope, licences, packing, pieces, quality, repeats, secrets, simhash, sketches, warc
 from tallyweek.llm.shared import landed, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op6_paragraph_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.fingerprints(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_crosspolytope_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = crosspolytope.near_vectors(_table(spark, folder, "embeddings"))
     kept = F.col("id").eqNullSafe(F.col("component"))
@@ -107,8 +111,8 @@ WITH t(licence, pairs) AS (VALUES {lists}),
 u AS (SELECT DISTINCT doc_id, trim(regexp_replace(translate(unit, '{licences.CAPITALS}', '{licences.SMALL}'), '[^a-z0-9]+', ' ', 'g')) AS unit
       FROM (SELECT doc_id, unnest(list_append(string_split(coalesce(text, ''), chr(10)), coalesce(text, ''))) AS unit FROM documents) x),
 w AS (SELECT doc_id, unit, string_split(unit, ' ') AS words FROM u WHERE unit LIKE '% %'),
-b AS (SELECT doc_id, unit, list_distinct([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS own FROM w WHERE len(words) <= 300),
-d AS (SELECT doc_id, unit, licence, 2.0::DOUBLE * len(list_intersect(own, pairs)) / (len(own) + len(pairs)) AS dice FROM b, t),
+b AS (SELECT doc_id, unit, list_distinct([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS own FROM w),
+d AS (SELECT doc_id, unit, licence, 2.0::DOUBLE * len(list_intersect(own, pairs)) / (len(own) + len(pairs)) AS dice FROM b JOIN t ON len(own) BETWEEN len(pairs) * 0.66 AND len(pairs) * 1.51),
 m AS (SELECT doc_id, unit, max(dice) AS dice, arg_max(licence, (dice, -ord(licence))) AS licence FROM d WHERE dice >= 0.8 GROUP BY doc_id, unit)
 SELECT doc_id, count(m.unit) AS n_units, coalesce(string_agg(DISTINCT m.licence, ',' ORDER BY m.licence), '') AS licences, max(m.dice) AS best_dice
 FROM documents LEFT JOIN m USING (doc_id) GROUP BY doc_id
@@ -121,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_paragraph_sketches": op6_paragraph_sketches,
     "op7_crosspolytope_near_dedup": op7_crosspolytope_near_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece_codec": op9_sentencepiece_codec,
