@@ -1,4 +1,9 @@
-"""Cleaning and packing a corpus: each stage works on what the one before it kept."""
+"""Cleaning and packing a corpus: each stage works on what the one before it kept.
+
+Every stage takes the documents' columns, whatever else the table has, and all but the last return
+them. Null and empty texts, repeated rows and repeated or null ids pass through every stage by the
+same rules as other documents; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -8,48 +13,65 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import packing, repeats, simhash
+from tallyweek.llm import packing, quality, repeats, secrets, simhash
 from tallyweek.llm.shared import landed
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component stays.
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject, at its score of 0.7."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    scorer = quality.fit(docs, labels.where(fold != 2))
+    rows = quality.score(docs.select(*COLUMNS), scorer, keep=COLUMNS[1:]).withColumnRenamed("id", "doc_id")
+    return rows.where(F.col("score") >= quality.THRESHOLD).select(*COLUMNS)
 
-    Rows that repeat an id count as copies of it. A row without an id stays only where its whole
-    component has none."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    keep = found.where("id <=> component").select("id").distinct()
-    kept = docs.join(keep, docs.doc_id.eqNullSafe(keep.id), "left_semi")
-    first = kept.groupBy("doc_id").agg(F.min_by(F.struct(*COLUMNS), F.struct("text", "lang", "source", "n_chars")).alias("r"))
-    return first.select("r.*").select(*COLUMNS)
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the smallest id stays; rows without an id come last."""
+    rows = docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id())
+    place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row")
+    found = simhash.near_duplicates(rows.select(place.alias("place"), "text"), id_col="place")
+    keep = found.where("id = component").select("id.row")
+    return rows.join(keep, "row", "left_semi").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long passages that occur more than once are cut out; every document stays."""
-    numbered = landed(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
-    kept = repeats.remove_repeats(numbered, id_col="row").where("size(spans) > 0")
-    # A cut inside a character leaves bytes that are no UTF-8; they are replaced.
-    cut = kept.select(F.col("id").alias("row"), F.decode(F.expr("try_validate_utf8(cast(kept as string))").cast("binary"), "UTF-8").alias("cut"))
-    text = F.when(F.col("changed"), F.col("cut")).otherwise(F.col("text"))
-    rows = numbered.join(cut.withColumn("changed", F.lit(True)), "row", "left").withColumn("text", text)
-    return rows.withColumn("n_chars", F.when(F.col("changed"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    """Strings of 400 bytes that occur more than once are cut out; every document stays.
+
+    A cut inside a character leaves bytes that are no UTF-8; they become the replacement character."""
+    rows = docs.select(*COLUMNS).withColumn("had_text", F.col("text").isNotNull())
+    kept = repeats.remove_repeats(rows, keep=["lang", "source", "n_chars", "had_text"]).withColumnRenamed("id", "doc_id")
+    kept = kept.withColumn("text", F.when(F.col("had_text"), F.make_valid_utf8(F.col("kept").cast("string"))))
+    changed = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", changed).select(*COLUMNS)
+
+
+def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    before = docs.select(*COLUMNS).withColumn("old", F.length("text"))
+    rows = secrets.redact(before)
+    changed = F.when(F.length("text") != F.col("old"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return rows.withColumn("n_chars", changed).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a training sequence."""
     rows = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return rows.withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
     ("near_copies", near_copies),
     ("repeated_passages", repeated_passages),
+    ("secrets", no_secrets),
     ("packing", packed),
 ]
 
-ORACLE_SQL = None  # fingerprints, repeats and packing are beyond SQL
+ORACLE_SQL = None  # classifier, fingerprints, repeats and packing are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,16 +132,10 @@ def _texts(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 once, index, group, times = np.unique(around, return_index=True, return_inverse=True, return_counts=True)
                 own.append(merge_ranges(first[times[group] > 1], last[times[group] > 1] + 1))
                 anchors.append((grams[index], once, place[index], first[index], last[index] + 1, times))
-            sizes = [len(text) for (text,) in values(batch.select(["text"]))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), _lists(anchors, _ANCHOR), _lists(own, _RANGE)],
-                names=["key", "n_bytes", "anchors", "own"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(anchors, _ANCHOR), _lists(own, _RANGE)], names=["key", "anchors", "own"])
 
-    scanned = rows.mapInArrow(run, f"key binary, n_bytes bigint, anchors array<{_ANCHOR_TYPE}>, own {_RANGES_TYPE}")
-    return scanned.groupBy("key").agg(
-        F.first("n_bytes").alias("n_bytes"), F.first("anchors").alias("anchors"), F.first("own").alias("own"), F.count(F.lit(1)).alias("rows")
-    )
+    scanned = rows.mapInArrow(run, f"key binary, anchors array<{_ANCHOR_TYPE}>, own {_RANGES_TYPE}")
+    return scanned.groupBy("key").agg(F.first("anchors").alias("anchors"), F.first("own").alias("own"), F.count(F.lit(1)).alias("rows"))
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -283,17 +278,20 @@ def _kept(texts: DataFrame, length: int) -> DataFrame:
                 s, e = merge_ranges(s, e)
                 spans.append((s, e))
                 kept.append(b"".join(text[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(text)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(spans, _RANGE), pa.array(kept, pa.binary())], names=["key", "spans", "kept"])
+            sizes = pa.compute.binary_length(batch.column(1)).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _lists(spans, _RANGE), pa.array(kept, pa.binary())], names=["key", "n_bytes", "spans", "kept"])
 
-    return texts.mapInArrow(run, f"key binary, spans {_RANGES_TYPE}, kept binary")
+    return texts.mapInArrow(run, f"key binary, n_bytes bigint, spans {_RANGES_TYPE}, kept binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, n_bytes, spans, kept): per document the removed byte spans [s, e) and the rest.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """Rows (id, n_bytes, spans, kept, *keep): per document the removed byte spans [s, e), the rest
+    of its bytes, and further columns of the input.
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else.
     """
-    rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
+    carried = [F.col(c).alias(f"__{c}") for c in keep]
+    rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), *carried)
     rows = rows.withColumn("key", F.unhex(F.md5("text")))
     keyed = rows.select("key", "text")
     texts = landed(_texts(keyed, length, gram), "repeat-anchors")
@@ -316,7 +314,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     found = equal.select("key", "s", "e").union(_sorted_buckets(_around(compared, length), length)).union(_counted_windows(compared, length))
     found = found.union(texts.select("key", F.explode("own").alias("r")).select("key", "r.*"))
     ranges = found.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-    ranges = texts.select("key", "n_bytes", "rows").join(ranges, "key", "left")
+    ranges = texts.select("key", "rows").join(ranges, "key", "left")
     kept = _kept(whole.join(ranges.select("key", "rows", "ranges"), "key").select("key", "text", "rows", "ranges"), length)
-    by_text = kept.join(texts.select("key", "n_bytes"), "key")
-    return rows.select("id", "key").join(by_text, "key").select("id", "n_bytes", "spans", "kept")
+    more = [f"__{c}" for c in keep]
+    found = rows.select("id", "key", *more).join(kept, "key")
+    return found.select("id", "n_bytes", "spans", "kept", *[F.col(m).alias(c) for m, c in zip(more, keep)])
