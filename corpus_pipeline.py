@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweek.llm import packing, quality, repeats, secrets, simhash
-from tallyweek.llm.shared import landed
+from tallyweek.llm.shared import landed, numbered
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,7 +31,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest id stays; rows without an id come last."""
-    rows = docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id())
+    rows = numbered(docs.select(*COLUMNS), "numbered")
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row")
     found = simhash.near_duplicates(rows.select(place.alias("place"), "text"), id_col="place")
     keep = found.where("id = component").select("id.row")

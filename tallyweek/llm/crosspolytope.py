@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.llm.components import star_components
-from tallyweek.llm.shared import landed, landed_observed
+from tallyweek.llm.shared import landed, landed_observed, numbered
 
 #: Expected unrelated vectors in a bucket, from which the number of hashes follows.
 UNRELATED = 64
@@ -141,11 +141,11 @@ def near_vectors(
     """Rows (id, n_links, component): for each vector the number of other vectors with its label
     linked to it, and the smallest id reachable by links."""
     names = F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v")
-    rows = table.select(*names).withColumn("row", F.monotonically_increasing_id())
+    rows = table.select(*names)
     usable = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     # Adding zero makes -0.0 equal to 0.0.
     rows = rows.withColumn("v", F.when(F.col("label").isNotNull() & usable, F.transform("v", lambda x: x + F.lit(0.0))))
-    rows = landed(rows, "vectors")
+    rows = numbered(rows, "vectors")
     same = rows.where("v IS NOT NULL").groupBy("label", "v").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("weight"))
     same, seen = landed_observed(same, "distinct-vectors", n=F.count(F.lit(1)), size=F.max(F.size("v")))
     hashes, tables, probes = search_width(seen["n"], seen["size"] or 1, hashes, tables, probes)

@@ -108,7 +108,8 @@ def _features(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     out[:, k + 5] = np.log1p(sizes) / 7
     triple = (folded[:-2] * np.uint32(31) + folded[1:-1]) * np.uint32(31) + folded[2:] if len(data) > 2 else np.zeros(0, np.uint32)
     slot = ((triple * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(TRIPLES)
-    counts = np.bincount(of[: len(slot)] * TRIPLES + slot, minlength=n * TRIPLES).reshape(n, TRIPLES)
+    whole = of[: len(slot)] == of[2:]
+    counts = np.bincount(of[: len(slot)][whole] * TRIPLES + slot[whole], minlength=n * TRIPLES).reshape(n, TRIPLES)
     out[:, k + 6 :] = np.sqrt(counts / share)
     return out
 

@@ -32,6 +32,11 @@ def landed_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataF
     return table, observation.get
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The frame with a unique ``row`` number, landed: numbers that are computed twice can differ."""
+    return landed(df.withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

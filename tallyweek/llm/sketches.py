@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import landed, landed_observed
+from tallyweek.llm.shared import landed, landed_observed, numbered
 
 PARAGRAPH, DIGESTS, HASHES = 400, 8, 3
 #: Cells per hash of the printed sketch and of the first attempt.
@@ -80,7 +80,7 @@ def following(rows: DataFrame) -> DataFrame:
 def versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Each document with its edited text and the digests of itself, the edited and the next text."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = numbered(rows, "numbered-texts")
     after = following(rows.withColumn("n_chars", F.length("text")))
     texts = rows.select("row", "id", "text")
     following_texts = texts.select(F.col("row").alias("after"), F.col("text").alias("next_text")).join(after, "after")

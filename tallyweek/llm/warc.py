@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyweek.llm.shared import numbered
+
 #: The record format.
 VERSION = "WARC/1.1"
 LINE, RECORD_END = "\r\n", "\r\n\r\n"
@@ -80,7 +82,7 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", uri_co
     """Write the captures of all rows as gzip-compressed WARC files into a new folder."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(uri_col).alias("uri"), payload.alias("payload"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
+    rows = numbered(rows.withColumn("digest", F.sha1(F.col("payload").cast("binary"))), "captures-to-write")
     shared = F.octet_length("payload") >= LEAST_SHARED
     # Of equal payloads the one with the largest id is stored; counted before the shuffle, so many
     # copies of one payload are one row, and adaptive execution can split the join's copies.
