@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Units and pairs of pieces that a Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Units, their stems, and pairs of pieces that a Python worker remembers; beyond it each memory starts anew.
+REMEMBERED = 500_000
 #: Fixed values of the model format.
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+_MARKS = ".,!?;:#$%&*"
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -100,7 +101,10 @@ class Transducer:
         inner = any(MARK in n.lstrip(MARK) or ("\n" in n and len(n) > 1) for n in self.ids)
         self._unit = re.compile(rf"(?s).+" if inner else rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
         self._known: dict[str, bytes] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._stems: dict[str, bytes] = {}
+        self._pairs: dict[int, bool] = {}
+        # A place between two characters that no piece has side by side is in no piece.
+        self._touching = {a + b for n in self.ids for a, b in zip(n, n[1:])}
 
     def normalise(self, text: str) -> str:
         if self._squeeze:
@@ -121,14 +125,11 @@ class Transducer:
                 costs[k - 1] = weights.get(parts[k - 1] + parts[k], inf)
         return parts
 
-    def _apart(self, a: str, b: str) -> bool:
+    def _stay_apart(self, key: int, a: str, b: str) -> bool:
         """Whether two pieces side by side stay as they are."""
-        key = (a, b)
-        found = self._pairs.get(key)
-        if found is None:
-            if len(self._pairs) >= REMEMBERED:
-                self._pairs.clear()
-            found = self._pairs[key] = self._merged(a + b) == [a, b]
+        if len(self._pairs) >= REMEMBERED:
+            self._pairs.clear()
+        found = self._pairs[key] = self._merged(a + b) == [a, b]
         return found
 
     def _weighted_path(self, unit: str) -> list[int]:
@@ -149,14 +150,24 @@ class Transducer:
     def _apart_path(self, unit: str) -> list[int]:
         """The same with weights on pairs of neighbours, 0 or infinite: exactly one path to each
         place has a finite weight, so the first one found is the least."""
-        n, weights, longest, apart = len(unit), self.weights, self.longest, self._apart
-        back, last = [0] * (n + 1), [""] * (n + 1)
+        n, ids, longest, pairs = len(unit), self.ids, self.longest, self._pairs
+        back, last = [0] * (n + 1), [0] * (n + 1)
         for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
-                piece = unit[start:end]
-                if (piece in weights or end - start == 1) and (not start or apart(last[start], piece)):
-                    back[end], last[end] = start, piece
-                    break
+            for start in range(end - longest if end > longest else 0, end):
+                piece = ids.get(unit[start:end])
+                if piece is None:
+                    if start < end - 1:
+                        continue
+                    piece = len(self.names) + ord(unit[start])  # a character without a piece
+                if start:
+                    key = last[start] << 21 | piece
+                    apart = pairs.get(key)
+                    if apart is None:
+                        apart = self._stay_apart(key, unit[back[start] : start], unit[start:end])
+                    if not apart:
+                        continue
+                back[end], last[end] = start, piece
+                break
         return back
 
     def shortest_path(self, unit: str) -> list[str]:
@@ -177,7 +188,15 @@ class Transducer:
                 ids += [self._bytes[b] for b in piece.encode()]
             else:
                 ids.append(self._unknown)
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _stem(self, stem: str) -> bytes:
+        found = self._stems.get(stem)
+        if found is None:
+            if len(self._stems) >= REMEMBERED:
+                self._stems.clear()
+            found = self._stems[stem] = self._coded(stem)
+        return found
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
@@ -187,7 +206,12 @@ class Transducer:
             if found is None:
                 if len(known) >= REMEMBERED:
                     known.clear()
-                found = known[unit] = self._coded(unit)
+                n = len(unit.rstrip(_MARKS))
+                if 0 < n < len(unit) and unit[n - 1 : n + 1] not in self._touching:
+                    found = self._stem(unit[:n]) + self._stem(unit[n:])
+                else:
+                    found = self._stem(unit)
+                known[unit] = found
             out.append(found)
         return b"".join(out)
 
