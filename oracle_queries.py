@@ -34,6 +34,16 @@ REGULAR_QBS = """
 regular AS (SELECT season, player, team, count(*) AS weeks FROM snap_report
             WHERE offense_snap_share > 0.5 AND position = 'QB' GROUP BY season, player, team)"""
 
+TOP_OF_SEASON = "QUALIFY row_number() OVER (PARTITION BY season ORDER BY weeks DESC, player, team) <= {top}"
+
+_LOST_ORDER = "ORDER BY week, player NULLS FIRST, position NULLS FIRST"
+NAMES_LOST = """
+lost AS (SELECT * REPLACE (CASE WHEN week % 4 <> 0 THEN player END AS player, CASE WHEN week % 6 <> 0 THEN position END AS position)
+         FROM snap_counts),""" + SNAP_REPORT.replace("snap_counts", "lost").replace("ORDER BY week, player, position", _LOST_ORDER)
+NAMES_FILLED = f"""SELECT * REPLACE (coalesce(player, first_value(player IGNORE NULLS) OVER w) AS player,
+    coalesce(position, first_value(position IGNORE NULLS) OVER w) AS position) FROM snap_report
+  WINDOW w AS (PARTITION BY pfr_player_id, team, season {_LOST_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
 DROPBACKS = """
 dropbacks AS (SELECT season, week, posteam AS team,
     coalesce(sum(pass_attempt), 0) + coalesce(sum(sack), 0) + coalesce(sum(qb_scramble), 0) AS team_dropbacks
@@ -236,7 +246,9 @@ ordered AS (SELECT *, row_number() OVER w - 1 AS row_index,
 CELLS = PLAYER_ORDER + """,
 first_cell AS (SELECT * FROM
     (SELECT *, row_number() OVER (PARTITION BY season, player_name, week
-       ORDER BY team, position, offense_snap_share) AS rn FROM regulars) r WHERE rn = 1),
+       ORDER BY team, position, offense_snap_share, targets NULLS FIRST, percent_share_of_intended_air_yards NULLS FIRST,
+         avg_yac NULLS FIRST, rush_first_downs NULLS FIRST, receiving_first_downs NULLS FIRST,
+         completion_percentage NULLS FIRST) AS rn FROM regulars) r WHERE rn = 1),
 cells AS (SELECT o.season, o.player_name, o.team, o.position, o.row_index, o.expanded_index, c.week, c.offense_snap_share,
     CASE WHEN o.position IN ('WR', 'RB', 'TE') THEN c.targets END AS targets,
     CASE WHEN o.position IN ('WR', 'RB', 'TE') THEN c.percent_share_of_intended_air_yards END AS percent_share_of_intended_air_yards,
@@ -305,6 +317,20 @@ _SNAPS = ("snap_counts",)
 _PLAYS = ("plays",)
 _STATS = ("plays", "player_stats")
 
+RECEIVING_ROWS = DROPBACKS + "," + GAME_IDS + """,
+joined AS (SELECT s.season, s.week, g.game_id, s.player_display_name AS player, s.player_id AS pfr_player_id, s.position, s.team,
+    s.opponent_team AS opponent, s.receptions, s.targets, t.attempts AS team_pass_attempts, d.team_dropbacks,
+    CASE WHEN t.attempts > 0 THEN s.targets / t.attempts END AS target_share,
+    CASE WHEN d.team_dropbacks > 0 THEN s.targets / d.team_dropbacks END AS targets_per_dropback
+  FROM player_stats s LEFT JOIN game_ids g ON s.season = g.season AND s.week = g.week AND s.team = g.team
+    LEFT JOIN team_stats t ON s.season = t.season AND s.week = t.week AND s.team = t.team
+    LEFT JOIN dropbacks d ON s.season = d.season AND s.week = d.week AND s.team = d.team
+  WHERE s.targets > 0)"""
+RECEIVING_REPORT = (
+    "SELECT *, target_share - lag(target_share) OVER (PARTITION BY pfr_player_id, team, season ORDER BY week, game_id) "
+        "AS wow_target_share_change FROM joined"
+)
+
 ORACLES: dict[str, str] = {
     "snap_grid": _sql(_SNAPS, GRID, "SELECT * FROM grid"),
     "snap_share_report": _sql(_SNAPS, SNAP_REPORT, "SELECT * FROM snap_report"),
@@ -315,13 +341,13 @@ ORACLES: dict[str, str] = {
         "FROM snap_report WHERE wow_offense_snap_share_change IS NULL",
     ),
     "snap_regular_qbs": _sql(
-        _SNAPS, SNAP_REPORT + "," + REGULAR_QBS, "SELECT * FROM regular ORDER BY weeks DESC, season, player, team LIMIT 5"
+        _SNAPS, SNAP_REPORT + "," + REGULAR_QBS, "SELECT * FROM regular " + TOP_OF_SEASON.format(top=5)
     ),
     "snap_progression": _sql(
         _SNAPS,
         SNAP_REPORT + "," + REGULAR_QBS,
         "SELECT r.season, r.week, r.player, r.team, r.offense_snaps, r.offense_snap_share, r.wow_offense_snap_share_change "
-        "FROM snap_report r JOIN (SELECT * FROM regular ORDER BY weeks DESC, season, player, team LIMIT 1) b "
+        f"FROM snap_report r JOIN (SELECT * FROM regular {TOP_OF_SEASON.format(top=1)}) b "
         "ON r.season = b.season AND r.player = b.player AND r.team = b.team",
     ),
     "duplicate_keys": _sql(
@@ -330,21 +356,18 @@ ORACLES: dict[str, str] = {
         "SELECT season, week, team, pfr_player_id, count(*) AS copies FROM snap_report "
         "GROUP BY season, week, team, pfr_player_id HAVING count(*) > 1",
     ),
+    "snap_names_filled": _sql(_SNAPS, NAMES_LOST, NAMES_FILLED),
+    "duplicate_report_keys": _sql(
+        OPPORTUNITY_TABLES,
+        OPPORTUNITY,
+        "SELECT season, week, team, gsis_id, count(*) AS copies FROM report WHERE gsis_id IS NOT NULL "
+        "GROUP BY season, week, team, gsis_id HAVING count(*) > 1",
+    ),
     "team_dropbacks": _sql(_PLAYS, DROPBACKS, "SELECT * FROM dropbacks"),
     "team_game_ids": _sql(_PLAYS, GAME_IDS, "SELECT * FROM game_ids"),
-    "receiving_report": _sql(
-        ("plays", "player_stats", "team_stats"),
-        DROPBACKS + "," + GAME_IDS + """,
-joined AS (SELECT s.season, s.week, g.game_id, s.player_display_name AS player, s.player_id AS pfr_player_id, s.position, s.team,
-    s.opponent_team AS opponent, s.receptions, s.targets, t.attempts AS team_pass_attempts, d.team_dropbacks,
-    CASE WHEN t.attempts > 0 THEN s.targets / t.attempts END AS target_share,
-    CASE WHEN d.team_dropbacks > 0 THEN s.targets / d.team_dropbacks END AS targets_per_dropback
-  FROM player_stats s LEFT JOIN game_ids g ON s.season = g.season AND s.week = g.week AND s.team = g.team
-    LEFT JOIN team_stats t ON s.season = t.season AND s.week = t.week AND s.team = t.team
-    LEFT JOIN dropbacks d ON s.season = d.season AND s.week = d.week AND s.team = d.team
-  WHERE s.targets > 0)""",
-        "SELECT *, target_share - lag(target_share) OVER (PARTITION BY pfr_player_id, team, season ORDER BY week, game_id) "
-        "AS wow_target_share_change FROM joined",
+    "receiving_report": _sql(("plays", "player_stats", "team_stats"), RECEIVING_ROWS, RECEIVING_REPORT),
+    "receiving_other_spellings": _sql(
+        ("plays", "player_stats", "team_stats"), RECEIVING_ROWS.replace("s.opponent_team AS opponent", "'' AS opponent"), RECEIVING_REPORT
     ),
     "team_passing_totals": _sql(_STATS, QB_ROWS, "SELECT * FROM totals"),
     "qb_play_metrics": _sql(_PLAYS, QB_METRICS, "SELECT * FROM metrics"),
@@ -364,6 +387,22 @@ joined AS (SELECT s.season, s.week, g.game_id, s.player_display_name AS player,
         "SELECT season, week, pfr_player_id, team, wow_yards_change, wow_td_change, wow_epa_change FROM qb_report",
     ),
     "qb_report": _sql(_STATS, QB_REPORT, f"SELECT {_QB_COLUMNS} FROM qb_report"),
+    "qb_other_spellings": _sql(
+        _STATS, QB_REPORT.replace("opponent_team AS opponent", "'' AS opponent"), f"SELECT {_QB_COLUMNS} FROM qb_report"
+    ),
+    "qb_without_plays": _sql(
+        _STATS,
+        QB_REPORT,
+        f"SELECT {_QB_COLUMNS} FROM qb_report".replace("game_id", "'' AS game_id")
+        .replace("wow_epa_change", "CAST(NULL AS DOUBLE) AS wow_epa_change")
+        .replace(
+            "epa_per_dropback, success_rate, cpoe, air_yards_per_attempt, big_play_rate, pressure_rate",
+            ", ".join(
+                f"CAST(NULL AS DOUBLE) AS {m}"
+                for m in ("epa_per_dropback", "success_rate", "cpoe", "air_yards_per_attempt", "big_play_rate", "pressure_rate")
+            ),
+        ),
+    ),
     "player_profile": _sql(
         ("players",),
         "",
@@ -392,6 +431,18 @@ joined AS (SELECT s.season, s.week, g.game_id, s.player_display_name AS player,
         f"SELECT s.player_key, s.season, s.week, s.team, {PASSING_METRICS}, {RECEIVING_METRICS}, {RUSHING_METRICS} "
         f"FROM snap_ids s {_tracking_joins('s')}",
     ),
+    "nextgen_absent": _sql(
+        ("snap_counts", "players"),
+        SNAP_IDS,
+        "SELECT s.player_key, s.season, s.week, s.team, "
+        + ", ".join(f"CAST(NULL AS DOUBLE) AS {m.split(' AS ')[-1].split('.')[-1]}" for m in ", ".join((PASSING_METRICS, RECEIVING_METRICS, RUSHING_METRICS)).split(", "))
+        + " FROM snap_ids s",
+    ),
+    "fantasy_points_configured": _sql(
+        _PLAYS,
+        STATS,
+        f"SELECT game_id, season, week, gsis_id, team, {POINTS.replace('0.5', '1')} AS fantasy_points FROM stats",
+    ),
     "combine_by_player": _sql(("players", "combine"), COMBINE_BY_PLAYER, "SELECT * FROM measured"),
     "fantasy_points": _sql(
         _PLAYS, STATS, f"SELECT game_id, season, week, gsis_id, team, {POINTS} AS fantasy_points FROM stats"

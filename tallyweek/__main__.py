@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from tallyweek.checks import distinct_players
 from tallyweek.reports import REPORTS, matrix_tables, read_weekly_report, run_report
 from tallyweek.session import tune
 from tallyweek.sources.landed import parse_seasons
@@ -31,6 +32,8 @@ def main(argv: list[str] | None = None) -> int:
         report = read_weekly_report(spark, args.input, args.format)
         for name, df in matrix_tables(report, args.min_games).items():
             df.write.mode("overwrite").parquet(f"{args.output}/{name}")
+        order = spark.read.parquet(f"{args.output}/player_order")
+        print(f"{distinct_players(order)} players")
         return 0
     options = {"scoring": args.scoring} if args.report == "opportunity" else {}
     rows = run_report(

@@ -16,6 +16,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = tuple(REPORT_KEY)) -> Da
     return known.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
+def distinct_players(df: DataFrame) -> int:
+    """The number of different player names."""
+    return df.agg(F.countDistinct("player_name")).first()[0]
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str] = tuple(REPORT_KEY)) -> None:
     sample = duplicate_keys(df, keys).limit(5).collect()
     if sample:

@@ -31,10 +31,8 @@ def period_grid(df: DataFrame, keys: Sequence[str], labels: Sequence[str], seaso
     """
     spans = df.groupBy(*keys, *labels).agg(F.min(period).alias("first_period"), F.max(period).alias("last_period"))
     periods = F.try_element_at(calendar_map(df, season, period), F.col(season))
-    every = spans.select(*keys, *labels, "first_period", "last_period", F.explode(periods).alias(period))
-    return every.where(F.col(period).between(F.col("first_period"), F.col("last_period"))).drop(
-        "first_period", "last_period"
-    )
+    within = F.filter("__periods", lambda p: p.between(F.col("first_period"), F.col("last_period")))
+    return spans.withColumn("__periods", periods).select(*keys, *labels, F.explode(within).alias(period))
 
 
 def gap_fill(
@@ -48,7 +46,9 @@ def gap_fill(
     """The period grid with the observed measures; periods without an observation get ``fills``.
 
     Grid and observations meet on ``keys``, so a later window over ``keys`` needs no further
-    shuffle when ``spark.sql.requireAllClusterKeysForCoPartition`` is off.
+    shuffle when ``spark.sql.requireAllClusterKeysForCoPartition`` is off. The repartition takes the
+    join out of skew splitting, so the keys must name one entity of a season: a group then holds
+    its weeks only, and no key can be hot.
     """
     grid = period_grid(df, keys, labels, season, period).repartition(*keys)
     observed = df.select(*keys, period, *fills)

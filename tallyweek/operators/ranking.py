@@ -64,12 +64,17 @@ def rows_before(
     )
 
 
-def dense_ranks(values: DataFrame, group: Sequence[str], value: str, out: str, block_width: float = 1.0) -> DataFrame:
+def dense_ranks(values: DataFrame, group: Sequence[str], value: str, out: str, block_width: float | None = None) -> DataFrame:
     """Dense rank, highest value first, of each distinct (group, value); NULL values have no rank.
 
-    Equal values collapse before the shuffle, so a group costs what its distinct values cost.
+    Equal values collapse before the shuffle, so a group costs what its distinct values cost. With
+    ``block_width`` a group of very many values is ordered block by block; without it a group's
+    distinct values, which lie on a grid such as points of one game, are ordered at once.
     """
     distinct = values.select(*group, value).where(F.col(value).isNotNull()).distinct()
+    if block_width is None:
+        rank = F.dense_rank().over(Window.partitionBy(*group).orderBy(F.desc(value)))
+        return distinct.withColumn(out, rank.cast("int"))
     ranked = rows_before(
         distinct,
         group,
@@ -86,11 +91,13 @@ def with_dense_rank(
     value: str,
     out: str,
     shown: Column | None = None,
-    values: DataFrame | None = None,
-    block_width: float = 1.0,
+    block_width: float | None = None,
 ) -> DataFrame:
     """Attach the dense rank of ``value`` in ``group``; rows where ``shown`` is not true get NULL
-    but still take part in the ranking. ``values`` may give the same values by a shorter path."""
-    ranks = dense_ranks(df if values is None else values, group, value, out, block_width)
+    but still take part in the ranking.
+
+    Ranks come back by equality of the values, so ``df`` must give the same bits each time it is
+    read: counts, or values from a landed table."""
+    ranks = dense_ranks(df, group, value, out, block_width)
     joined = null_safe_join(df, ranks, [*group, value], "left")
     return joined if shown is None else joined.withColumn(out, F.when(shown, F.col(out)))

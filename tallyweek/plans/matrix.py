@@ -92,9 +92,11 @@ def player_order(regulars: DataFrame) -> DataFrame:
         F.struct(position_order(F.col("position")).alias("pos_order"), "team", "position"),
         F.struct("week", "team", "position"),
     )
+    # A sum of decimals is the same in any order, so blocks cut by the mean are repeatable.
+    mean = F.sum(F.col(SNAP_SHARE).cast("decimal(18,12)")).cast("double") / F.count(SNAP_SHARE)
     players = (
         regulars.groupBy("season", "player_name")
-        .agg(F.avg(SNAP_SHARE).alias("avg_snap"), first.alias("first"))
+        .agg(mean.alias("avg_snap"), first.alias("first"))
         .select("season", "player_name", "avg_snap", "first.*")
     )
     blocks = [
@@ -120,9 +122,8 @@ def player_order(regulars: DataFrame) -> DataFrame:
 def matrix_cells(regulars: DataFrame, order: DataFrame | None = None) -> DataFrame:
     """First row's measures per season, name and week, kept only for the name's position."""
     measures = list(MEASURE_POSITIONS)
-    cells = first_cells(
-        regulars, ["season", "player_name", "week"], ["team", "position", SNAP_SHARE], measures
-    )
+    # All measures take part in the order, so equal leading values leave no choice.
+    cells = first_cells(regulars, ["season", "player_name", "week"], ["team", "position", *measures], measures)
     rows = player_order(regulars) if order is None else order
     joined = cells.join(rows, on=["season", "player_name"], how="inner")
 
@@ -133,8 +134,16 @@ def matrix_cells(regulars: DataFrame, order: DataFrame | None = None) -> DataFra
     return joined.withColumns({m: kept(m) for m in measures})
 
 
+def name_positions(regulars: DataFrame) -> DataFrame:
+    """The position of each name: that of its first row by week, team and position."""
+    first = F.min_by("position", F.struct("week", "team", "position"))
+    return regulars.groupBy("season", "player_name").agg(first.alias("position"))
+
+
 def snap_matrix(regulars: DataFrame, weeks: list[int] | None = None) -> DataFrame:
-    """The measures' matrices stacked: a row per measure and name, a column per week."""
+    """The measures' matrices stacked: a row per measure and name, a column per week.
+
+    Without ``weeks`` the rows are read once more for the weeks that occur."""
     weeks = periods_of(regulars, "week") if weeks is None else weeks
     pairs = F.explode(
         F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURE_POSITIONS])
@@ -191,11 +200,17 @@ def metric_rows(regulars: DataFrame) -> DataFrame:
     )
 
 
-def cell_intensity(rows: DataFrame) -> DataFrame:
-    """Colour intensity per cell: share of the season's maximum, or the metric's fixed range."""
+def cell_intensity(regulars: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Colour intensity per cell: share of the season's maximum, or the metric's fixed range.
+
+    The maxima come from the cells and the names' positions alone; row places play no part."""
+    rows = metric_rows(regulars) if rows is None else rows
     scale_key = F.concat_ws("|", "season", "metric")
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in DEFAULT_MAXIMUM])
+    cells = matrix_cells(regulars, name_positions(regulars)).where(F.col("season").isNotNull())
     maxima = (
-        rows.where(F.col("metric").isin(list(DEFAULT_MAXIMUM)) & F.col("season").isNotNull())
+        cells.select("season", F.explode(pairs).alias("cell"))
+        .select("season", "cell.*")
         .groupBy(scale_key.alias("scale_key"))
         .agg(F.max("value").alias("maximum"))
     )

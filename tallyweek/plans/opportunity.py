@@ -18,6 +18,7 @@ from tallyweek.operators.schema import select_available
 from tallyweek.operators.scoring import weighted_score
 from tallyweek.plans.snap_share import SHARE_CHANGES
 from tallyweek.plans.team_games import game_opponents
+from tallyweek.sinks.landing import land
 from tallyweek.sources.schemas import struct_of
 from tallyweek.sources.scoring import column_weights
 
@@ -369,10 +370,11 @@ def fantasy_points(df: DataFrame, weights: Mapping[str, float] | None = None) ->
     return df.withColumn("fantasy_points", weighted_score(weights or column_weights()))
 
 
-def position_rank(df: DataFrame, values: DataFrame | None = None) -> DataFrame:
+def position_rank(df: DataFrame) -> DataFrame:
     """Dense rank of the points within season, week and position, best first.
 
-    Players without an offensive snap take part in the ranking but show no rank.
+    Players without an offensive snap take part in the ranking but show no rank. The rows should
+    come from a landed table: see ``with_dense_rank``.
     """
     return with_dense_rank(
         df,
@@ -380,21 +382,30 @@ def position_rank(df: DataFrame, values: DataFrame | None = None) -> DataFrame:
         "fantasy_points",
         "f_position_rank",
         shown=or_zero("offense_snaps") >= 1,
-        values=values,
     )
 
 
-def scored_positions(
-    snaps: DataFrame, players: DataFrame, plays: DataFrame, weights: Mapping[str, float] | None = None
+def scored_rows(
+    snaps: DataFrame,
+    players: DataFrame,
+    plays: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    opponents: bool = True,
 ) -> DataFrame:
-    """Snap rows with position and fantasy points only: the narrow input of the ranking."""
-    base = with_player_ids(snaps, players).select(
-        "player_key", "season", "week", "team", "game_id", "offense_snaps"
-    )
+    """Snap rows with changes, play statistics, position and points, landed in the shared folder.
+
+    The play statistics are aggregated once for ranking and report, and both read the same bits.
+    From the repartition on, the change window and the statistics join work on (player_key,
+    season); a player's weeks of a season are all that shares a key.
+    """
+    base = with_player_ids(snaps, players)
+    if opponents:
+        base = fill_opponents(base, game_opponents(plays))
+    base = snap_changes(base.repartition("player_key", "season"))
     stats = player_game_stats(plays).withColumnRenamed("gsis_id", "player_key")
-    positions = players.select(F.col("gsis_id").alias("player_key"), "position")
     joined = base.join(stats, on=[*HISTORY, *HISTORY_ORDER], how="left")
-    return fantasy_points(joined.join(positions, on="player_key", how="left"), weights)
+    positions = players.select(F.col("gsis_id").alias("player_key"), "position")
+    return land(fantasy_points(joined.join(positions, on="player_key", how="left"), weights), "scored_rows")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -407,29 +418,20 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def opportunity_rows(
-    snaps: DataFrame,
+def with_dimensions(
+    rows: DataFrame,
     players: DataFrame,
-    plays: DataFrame,
     tracking_passing: DataFrame,
     tracking_receiving: DataFrame,
     tracking_rushing: DataFrame,
     combine: DataFrame,
 ) -> DataFrame:
-    """The report's rows before scoring and ranking."""
-    # Opponents are filled while the rows are narrow. From the repartition on, the change window,
-    # the statistics join and the three tracking joins all work on (player_key, season); window
-    # and statistics join also share their sort.
-    base = fill_opponents(with_player_ids(snaps, players), game_opponents(plays))
-    base = snap_changes(base.repartition("player_key", "season"))
-    stats = player_game_stats(plays).withColumnRenamed("gsis_id", "player_key")
+    """The scored rows with tracking measures, profile and combine results."""
     tables = tracking_tables(tracking_passing, tracking_receiving, tracking_rushing)
     # Profile and combine meet as dimensions, so the wide rows join once.
-    profile = player_profile(players)
-    profile = profile.drop("pfr_id").join(combine_by_player(combine, players), on="gsis_id", how="left")
-
-    joined = base.join(stats, on=[*HISTORY, *HISTORY_ORDER], how="left")
-    joined = join_tracking(joined, tables, "player_key")
+    profile = player_profile(players).drop("pfr_id", "position")
+    profile = profile.join(combine_by_player(combine, players), on="gsis_id", how="left")
+    joined = join_tracking(rows, tables, "player_key")
     return joined.join(profile.withColumnRenamed("gsis_id", "player_key"), on="player_key", how="left")
 
 
@@ -443,9 +445,7 @@ def opportunity_report(
     combine: DataFrame,
     weights: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    rows = opportunity_rows(
-        snaps, players, plays, tracking_passing, tracking_receiving, tracking_rushing, combine
-    )
-    # The ranking reads a narrow path of its own instead of the wide joins.
-    values = scored_positions(snaps, players, plays, weights)
-    return conform(position_rank(fantasy_points(rows, weights), values), REPORT_SCHEMA)
+    """The report. Its scored rows are landed while it is built; the rank joins them while narrow."""
+    ranked = position_rank(scored_rows(snaps, players, plays, weights))
+    rows = with_dimensions(ranked, players, tracking_passing, tracking_receiving, tracking_rushing, combine)
+    return conform(rows, REPORT_SCHEMA)

@@ -42,7 +42,7 @@ def rushing_leaders(plays: DataFrame, players: DataFrame, top: int = 50) -> Data
     leaders, so ranking the top rows gives the rank among all players.
     """
     leaders = rushing_totals(plays, players).orderBy(F.desc("rush_attempt"), "rusher_player_id").limit(top)
-    ranked = with_dense_rank(leaders, [], "rush_attempt", "rank")
+    ranked = with_dense_rank(leaders, [], "rush_attempt", "rank", block_width=1024.0)
     return ranked.select(
         "rank",
         "rusher_player_id",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweek.functions.scalars import person_key
 from tallyweek.operators.change import change
 from tallyweek.operators.gapfill import gap_fill, period_grid
 
-KEYS = ["pfr_player_id", "team", "season"]
+# People without an id are told apart by name, in matching and in history alike, so no key holds
+# more than one person's weeks of a season.
+KEYS = ["person", "team", "season"]
 LABELS = ["player", "position"]
 
 # What a week without an observation shows.
@@ -51,18 +54,23 @@ REPORT_COLUMNS = [
 SORT_COLUMNS = ["season", "week", "team", "position", "player"]
 
 
+def _keyed(snaps: DataFrame) -> DataFrame:
+    return snaps.withColumn("person", person_key(F.col("player"), ("id", F.col("pfr_player_id"))))
+
+
 def snap_grid(snaps: DataFrame) -> DataFrame:
-    grid = period_grid(snaps, KEYS, LABELS, "season", "week")
+    grid = period_grid(_keyed(snaps), KEYS, ["pfr_player_id", *LABELS], "season", "week")
     return grid.select("season", "week", "pfr_player_id", "team", "player", "position")
 
 
 def snap_share_report(snaps: DataFrame) -> DataFrame:
-    filled = gap_fill(snaps, KEYS, LABELS, "season", "week", GAP_VALUES)
-    # People without an id are told apart by name. Two spellings of one id give two rows a week;
-    # the labels make their order repeatable.
-    unnamed = F.when(F.col("pfr_player_id").isNull(), F.col("player"))
-    changed = change(filled, [*KEYS, unnamed], ["week", *LABELS], SHARE_CHANGES)
-    return changed.select([F.col(source).alias(name) for name, source in REPORT_COLUMNS])
+    filled = gap_fill(_keyed(snaps), KEYS, ["pfr_player_id", *LABELS], "season", "week", GAP_VALUES)
+    # Two spellings of one id give two rows a week; the labels make their order repeatable.
+    changed = change(filled, KEYS, ["week", *LABELS], SHARE_CHANGES)
+    # A missing name or position is the first known one of the player's weeks in the team.
+    weeks = Window.partitionBy(*KEYS).orderBy("week", *LABELS).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    known = {label: F.coalesce(F.col(label), F.first(label, ignorenulls=True).over(weeks)) for label in LABELS}
+    return changed.withColumns(known).select([F.col(source).alias(name) for name, source in REPORT_COLUMNS])
 
 
 def first_appearances(report: DataFrame) -> DataFrame:
@@ -75,7 +83,11 @@ def first_appearances(report: DataFrame) -> DataFrame:
 def regular_players(
     report: DataFrame, position: str = "QB", above: float = 0.5, top: int | None = 5, by: tuple = ("season",)
 ) -> DataFrame:
-    """Players of a position by number of weeks above a snap share, the ``top`` most frequent."""
+    """Players of a position by number of weeks above a snap share, the ``top`` of each season.
+
+    Rows collapse to a count per player before the seasons are ranked, and each task keeps only
+    its own ``top`` before the shuffle of the ranking window.
+    """
     weeks = (
         report.where((F.col("offense_snap_share") > above) & (F.col("position") == position))
         .groupBy(*by, "player", "team")
@@ -83,13 +95,13 @@ def regular_players(
     )
     if top is None:
         return weeks
-    return weeks.orderBy(F.desc("weeks"), *by, "player", "team").limit(top)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("weeks"), "player", "team"))
+    return weeks.withColumn("__place", place).where(F.col("__place") <= top).drop("__place")
 
 
 def top_regular_progression(report: DataFrame, position: str = "QB", above: float = 0.5) -> DataFrame:
-    """Week by week rows of the one most frequent regular of a position."""
+    """Week by week rows of each season's most frequent regular of a position."""
     top = regular_players(report, position, above, top=1).select("season", "player", "team")
-    # One row by construction (the limit above), so the broadcast has a fixed size.
-    return report.join(F.broadcast(top), on=["season", "player", "team"], how="left_semi").select(
+    return report.join(top, on=["season", "player", "team"], how="left_semi").select(
         "season", "week", "player", "team", "offense_snaps", "offense_snap_share", "wow_offense_snap_share_change"
     )

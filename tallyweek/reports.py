@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyweek.checks import assert_unique
 from tallyweek.operators.schema import optional
 from tallyweek.plans import matrix, opportunity, quarterback, receiving, snap_share
+from tallyweek.sinks.landing import land
 from tallyweek.sinks.season_files import REPORT_NAMES, write_by_season
-from tallyweek.sources.landed import Seasons, read_csv, read_optional, read_required
+from tallyweek.sources.landed import Seasons, read_csv, read_optional, read_required, season_filter
 from tallyweek.sources.schemas import LANDED
 from tallyweek.sources.scoring import column_weights, points_from, read_scoring
 
@@ -67,7 +69,14 @@ def run_report(
     """Write one report and return its rows, or None when a required table has no rows."""
     report = REPORTS[name]
     df = report.build(spark, root, seasons, **options)
-    return None if df is None else write_by_season(df, out, REPORT_NAMES[name], report.sort, fmt)
+    if df is None:
+        return None
+    rows = write_by_season(df, out, REPORT_NAMES[name], report.sort, fmt)
+    if name == "opportunity":
+        # The contract is checked on the files just written, of which only the keys are read.
+        written = season_filter(read_weekly_report(spark, f"{out}/{REPORT_NAMES[name]}", fmt), seasons)
+        assert_unique(written)
+    return rows
 
 
 def read_weekly_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -78,15 +87,17 @@ def read_weekly_report(spark: SparkSession, path: str, fmt: str = "csv") -> Data
 
 
 def matrix_tables(report: DataFrame, min_games: int = 3, threshold: float = 0.5) -> dict[str, DataFrame]:
-    """Everything a heat map is drawn from: the matrices, and cells, colours, texts and lines."""
-    regulars = matrix.skill_regulars(report, min_games)
+    """Everything a heat map is drawn from: the matrices, and cells, colours, texts and lines.
+
+    The regulars, which all of them share, are landed once."""
+    regulars = land(matrix.skill_regulars(report, min_games), "regulars")
     rows = matrix.metric_rows(regulars)
     order = matrix.player_order(regulars)
     return {
         "player_order": order,
         "snap_matrix": matrix.snap_matrix(regulars),
         "metric_rows": rows,
-        "cell_intensity": matrix.cell_intensity(rows),
+        "cell_intensity": matrix.cell_intensity(regulars, rows),
         "cell_labels": matrix.cell_labels(rows, threshold),
         "group_boundaries": matrix.group_boundaries(order),
     }

@@ -1,36 +1,31 @@
 """Landing a table in the shared folder: a file boundary between two reports.
 
-The matrix report starts from written weekly report files. A written table survives lost
-executors, is scanned with column pruning by each of its readers, and keeps the wide report from
-being computed once per reader.
+A written table survives lost executors, is scanned with column pruning by each of its readers,
+and keeps what it holds from being computed once per reader.
 """
 
 from __future__ import annotations
 
-import tempfile
+import logging
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+log = logging.getLogger(__name__)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session may go without."""
+    """The folder named by ``spark.checkpoint.dir``, else one in the warehouse: both are shared."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tallyweek-")
-    return _LOCAL_FOLDERS[application]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/landed"
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame once and read it back."""
+    """Write the frame once and read it back; its rows are counted while writing, and logged."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    rows = Observation()
+    df.observe(rows, F.count("*").alias("rows")).write.parquet(path)
+    log.info("%s: %d rows", name, rows.get["rows"])
+    return spark.read.schema(df.schema).parquet(path)

@@ -30,7 +30,8 @@ def write_by_season(df: DataFrame, folder: str, name: str, sort: Sequence[str],
     # Observed above the sort: what is below it also runs for the sampling of the range bounds.
     rows = df.withColumn(PARTITION, F.col("season")).orderBy(*order)
     rows = rows.observe(observation, F.count("*").alias("rows"))
-    writer = rows.write.mode("overwrite").partitionBy(PARTITION)
+    # Only the seasons in the rows are replaced; files of other seasons stay.
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(f"{folder}/{name}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.errors import AnalysisException
 
 from tallyweek.sources.schemas import LANDED
 
+log = logging.getLogger(__name__)
+
 Seasons = int | Iterable[int] | bool
 
 
@@ -48,10 +51,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_optional(spark: SparkSession, root: str, table: str, seasons: Seasons = True) -> DataFrame:
-    """An optional table: the rows if it can be read, else no rows with its fixed schema."""
+    """An optional table: its rows, or no rows with its fixed schema where there is no such table.
+
+    Only a missing or empty folder counts as absent; a table that can't be read is an error."""
     try:
         return read_parquet(spark, root, table, seasons)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        log.warning("optional table %s is absent: its columns stay NULL", table)
         return spark.createDataFrame([], LANDED[table])
 
 

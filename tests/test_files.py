@@ -74,6 +74,21 @@ def test_matrix_from_written_report(spark, landed, tmp_path):
 
 
 def test_landing_uses_one_shared_folder(spark, frame):
-    first = shared_folder(spark)
     df = land(frame("x int", [{"x": 1}]), "check")
-    assert shared_folder(spark) == first and df.inputFiles()[0].startswith(f"file://{first}/check-")
+    assert f"{shared_folder(spark).removeprefix('file:')}/check-" in df.inputFiles()[0]
+
+
+@pytest.mark.parametrize("name", list(REPORTS))
+def test_a_run_replaces_only_its_own_seasons(spark, landed, tmp_path, name):
+    out = str(tmp_path)
+    counts = {season: run_report(spark, name, landed, season, out, "parquet") for season in (2020, 2021, 2020)}
+    (folder,) = glob.glob(f"{out}/*")
+    back = {r.season_p: r["count"] for r in spark.read.parquet(folder).groupBy("season_p").count().collect()}
+    assert back == counts and all(counts.values())
+
+
+def test_an_unreadable_optional_table_is_an_error(spark, tmp_path):
+    (tmp_path / "combine").mkdir()
+    (tmp_path / "combine" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        read_optional(spark, str(tmp_path), "combine").collect()

@@ -161,8 +161,8 @@ def test_people_without_an_id_keep_their_own_history(frame):
     rows = [snap(1, 0.5, pid=None, player=p) for p in ("x", "y")] + [snap(2, 0.5, pid=None, player=p) for p in ("x", "y")]
     report = snap_share_report(frame(SNAPS, rows))
     got = sorted((r.player, r.week, r.offense_snap_share, r.wow_offense_snap_share_change) for r in report.collect())
-    # an id that is not known matches no observation, as in any join on it
-    assert got == [("x", 1, 0.0, None), ("x", 2, 0.0, 0.0), ("y", 1, 0.0, None), ("y", 2, 0.0, 0.0)]
+    # people without an id are matched by name
+    assert got == [("x", 1, 0.5, None), ("x", 2, 0.5, 0.0), ("y", 1, 0.5, None), ("y", 2, 0.5, 0.0)]
 
 
 def test_session_settings(spark):

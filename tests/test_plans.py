@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from tallyweek.plans import quarterback, snap_share
+from tallyweek.plans import matrix, opportunity, quarterback, snap_share
 from tests.conftest import TESTDATA
 
 
@@ -31,7 +31,7 @@ def test_snap_report_shuffles(spark, landed, no_broadcast):
     snaps = spark.read.parquet(f"{landed}/snap_counts")
     plan = plan_of(snap_share.snap_share_report(snaps)).split("SubqueryAdaptiveBroadcast")[0]
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    on_player = [s for s in shuffles if "pfr_player_id" in s]
+    on_player = [s for s in shuffles if "person" in s]
     # spans, grid and observations; the join and the window share the latter two
     assert len(on_player) == 3
     assert "ReadSchema: struct<week:int,player:string,pfr_player_id:string,position:string,team:string>" in plan
@@ -49,3 +49,20 @@ def test_filters_reach_the_scan(spark, landed):
     stats = spark.read.parquet(f"{landed}/player_stats")
     plan = plan_of(quarterback.quarterbacks(stats))
     assert "PushedFilters: [IsNotNull(position), IsNotNull(attempts), EqualTo(position,QB), GreaterThan(attempts,0.0)]" in plan
+
+
+def test_opportunity_scans_and_shuffles(spark, landed, no_broadcast):
+    names = ("snap_counts", "players", "plays", "tracking_passing", "tracking_receiving", "tracking_rushing", "combine")
+    plan = plan_of(opportunity.opportunity_report(*[spark.read.parquet(f"{landed}/{n}") for n in names]))
+    # Play statistics were aggregated once, into the landed scored rows; ranking and report read those.
+    assert "/plays" not in plan
+    assert plan.count("Exchange hashpartitioning") <= 25
+
+
+def test_intensity_maxima_need_no_row_places(spark, landed, no_broadcast):
+    names = ("snap_counts", "players", "plays", "tracking_passing", "tracking_receiving", "tracking_rushing", "combine")
+    snaps, players, plays, *more = [spark.read.parquet(f"{landed}/{n}") for n in names]
+    rows = opportunity.with_dimensions(opportunity.scored_rows(snaps, players, plays), players, *more)
+    regulars = matrix.skill_regulars(rows)
+    counts = [plan_of(df).count("Exchange hashpartitioning") for df in (matrix.metric_rows(regulars), matrix.name_positions(regulars))]
+    assert plan_of(matrix.cell_intensity(regulars)).count("Exchange hashpartitioning") < 2 * counts[0] + counts[1]

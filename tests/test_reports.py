@@ -113,7 +113,7 @@ def test_opportunity_invariants(league):
     assert duplicate_keys(snap_share.snap_share_report(league["snap_counts"]), ["season", "week", "team", "pfr_player_id"]).count() > 0
     bad = report.where(~F.col("offense_snap_share").between(0, 1) | ~F.col("target_share").between(0, 1))
     assert bad.count() == 0
-    scored = opportunity.scored_positions(league["snap_counts"], league["players"], league["plays"])
+    scored = opportunity.scored_rows(league["snap_counts"], league["players"], league["plays"], opponents=False)
     ranks = opportunity.position_rank(scored.withColumn("offense_snaps", F.lit(1.0)))
     holes = (
         ranks.groupBy("season", "week", "position")
@@ -163,7 +163,7 @@ def test_one_name_on_two_teams_merges(frame):
 
 def test_scale_defaults_without_positive_maximum(frame):
     rows = [weekly(w, "R", "A", "RB", 0.5, targets=0.0, rush_first_downs=float(w)) for w in (1, 2, 4)]
-    cells = matrix.cell_intensity(matrix.metric_rows(matrix.skill_regulars(frame(REPORT, rows))))
+    cells = matrix.cell_intensity(matrix.skill_regulars(frame(REPORT, rows)))
     got = {(r.metric, r.week): (r.scale_maximum, r.intensity) for r in cells.collect()}
     assert got[("targets", 1)] == (15.0, 0.0)
     assert got[("rush_first_downs", 1)] == (4.0, 0.25)
@@ -189,3 +189,50 @@ def test_grid_and_change_invariants(league, name):
         assert first.where("n <> 1").count() == 0
     else:
         assert opportunity_of(league).where("opponent = ''").count() == 0
+
+
+def test_derived_tables_use_every_row(spark, league):
+    from tests.conftest import TESTDATA
+
+    raw = {t: spark.read.parquet(f"{TESTDATA}/{t}.parquet") for t in ("orders", "customer", "lineitem")}
+    assert league["plays"].count() == raw["lineitem"].count()
+    assert league["players"].count() == league["combine"].count() == raw["customer"].count()
+    places = raw["orders"].selectExpr("2020 + o_orderkey % 3 AS season", "cast((o_custkey - o_custkey % 8)/8 AS int) + 1 AS p", "o_orderkey")
+    per_player = places.groupBy("season", "p").agg(F.sum("o_orderkey").alias("s"))
+    weeks = league["snap_counts"].groupBy("season", "pfr_player_id").agg(F.count("*").alias("weeks"), F.max("week"), F.min("week"))
+    assert weeks.count() == per_player.count() and weeks.where("`max(week)` > 18 OR `min(week)` < 1").count() == 0
+    assert league["snap_counts"].where("season = 2021 AND week = 9").count() == 0
+    tracked = league["plays"].where("passer_player_id IS NOT NULL").select("season", "week", "passer_player_id").distinct()
+    assert league["tracking_passing"].count() == tracked.count()
+
+
+def test_regulars_come_from_every_season(league):
+    report = snap_share.snap_share_report(league["snap_counts"])
+    assert {r.season for r in snap_share.regular_players(report).collect()} == {2020, 2021, 2022}
+    progression = snap_share.top_regular_progression(report)
+    assert progression.groupBy("season").agg(F.countDistinct("player", "team").alias("n")).where("n <> 1").count() == 0
+    assert progression.select("season").distinct().count() == 3
+
+
+def test_no_rank_is_lost_with_fractional_yards(league):
+    plays = league["plays"].withColumn("yards_gained", F.col("yards_gained") + F.rand(3) / 7)
+    names = ("snap_counts", "players", "tracking_passing", "tracking_receiving", "tracking_rushing", "combine")
+    snaps, players, *more = [league[n] for n in names]
+    report = opportunity.opportunity_report(snaps, players, plays, *more)
+    assert report.where("offense_snaps >= 1 AND f_position_rank IS NULL").count() == 0
+
+
+def test_missing_names_are_filled(frame):
+    rows = [snap_row(w, p) for w, p in ((1, "x"), (2, None), (4, "x"))]
+    got = sorted(tuple(r) for r in snap_share.snap_share_report(frame(SNAPS, rows)).select("week", "player").collect())
+    assert got == [(1, "x"), (2, "x"), (2, "x"), (4, "x")]
+
+
+SNAPS = (
+    "game_id string, season int, week int, player string, pfr_player_id string, position string, team string, opponent string, "
+    "offense_snaps double, offense_pct double, defense_snaps double, defense_pct double, st_snaps double, st_pct double"
+)
+
+
+def snap_row(week, player):
+    return dict(season=2024, week=week, player=player, pfr_player_id="f", position="QB", team="A", offense_pct=0.5)

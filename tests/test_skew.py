@@ -33,7 +33,7 @@ def test_rank_of_a_hot_group(spark, splitting):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100).cast("int").alias("g"),
         F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise((F.col("id") % 997) / 8).alias("v"),
     )
-    ranked = with_dense_rank(rows, ["g"], "v", "r")
+    ranked = with_dense_rank(rows, ["g"], "v", "r", block_width=1.0)
     assert ranked.count() == 60000
     top = ranked.groupBy("g").agg(F.max("r").alias("top"), F.countDistinct("v").alias("n"))
     assert top.where("top <> n").count() == 0
