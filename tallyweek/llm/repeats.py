@@ -26,7 +26,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import landed, text_bytes, values
+from tallyweek.llm.shared import landed, numbered, text_bytes, values
 
 LENGTH, GRAM = 400, 64
 #: Most different surroundings of one gram that are sorted together: about 5 MB and a few seconds of one task. Counting
@@ -192,19 +192,19 @@ def repeat_groups(rights: Sequence[bytes], lefts: Sequence[bytes], length: int)
                 yield depth, by_left[ranks[a : b + 1]], best
 
 
-def _bucket_ranges(members: list[tuple], length: int) -> Iterator[tuple[bytes, int, int]]:
-    """Window ranges (text, start, end) of a bucket that occur in more than one of its members.
+def _bucket_ranges(members: list[tuple], length: int) -> Iterator[tuple[int, int, int]]:
+    """Window ranges (text's row, start, end) of a bucket that occur in more than one of its members.
 
-    A member is (gram, key, place, s, e, single, around bytes); results are for single ones.
+    A member is (gram, row, place, s, e, single, around bytes); results are for single ones.
     """
     rights = [m[6][m[2] - m[3] :] for m in members]
     lefts = [m[6][: m[2] - m[3]][::-1] for m in members]
     for depth, group, best in repeat_groups(rights, lefts, length):
         for i, back in zip(group.tolist(), best.tolist()):
-            _, key, place, s, e, single, _ = members[i]
+            _, row, place, s, e, single, _ = members[i]
             start, end = max(s, place - back), min(e, place - (length - depth) + 1)
             if single and end > start:
-                yield key, start, end
+                yield row, start, end
 
 
 def _around(compared: DataFrame, length: int) -> DataFrame:
@@ -213,15 +213,15 @@ def _around(compared: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for key, text, anchors in values(batch):
-                out += [(a["gram"], key, a["place"], a["s"], a["e"], a["single"], text[a["s"] : a["e"] + length - 1]) for a in anchors if not a["crowded"]]
+            for row, text, anchors in values(batch):
+                out += [(a["gram"], row, a["place"], a["s"], a["e"], a["single"], text[a["s"] : a["e"] + length - 1]) for a in anchors if not a["crowded"]]
             yield pa.RecordBatch.from_pylist([dict(zip(_MEMBER.names, x)) for x in out], schema=_MEMBER)
 
-    return compared.mapInArrow(run, "gram bigint, key binary, place int, s int, e int, single boolean, around binary")
+    return compared.mapInArrow(run, "gram bigint, row bigint, place int, s int, e int, single boolean, around binary")
 
 
-_MEMBER = pa.schema([("gram", pa.int64()), ("key", pa.binary()), ("place", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("single", pa.bool_()), ("around", pa.binary())])
-_FOUND = pa.schema([("key", pa.binary()), ("s", pa.int32()), ("e", pa.int32())])
+_MEMBER = pa.schema([("gram", pa.int64()), ("row", pa.int64()), ("place", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("single", pa.bool_()), ("around", pa.binary())])
+_FOUND = pa.schema([("row", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
 
 
 def _found(rows: list[tuple]) -> pa.RecordBatch:
@@ -241,7 +241,7 @@ def _sorted_buckets(members: DataFrame, length: int) -> DataFrame:
             yield _found(found)
         yield _found(list(_bucket_ranges(bucket, length)))
 
-    return members.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "key binary, s int, e int")
+    return members.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "row bigint, s int, e int")
 
 
 def _counted_windows(compared: DataFrame, length: int) -> DataFrame:
@@ -249,20 +249,20 @@ def _counted_windows(compared: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text, anchors in values(batch):
+            for row, text, anchors in values(batch):
                 for a in anchors:
                     if a["crowded"]:
                         hashes = Hashes(np.frombuffer(text[a["s"] : a["e"] + length - 1], np.uint8)).fixed(length).view(np.int64)
                         n = len(hashes)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([key] * n, pa.binary()), pa.array(np.arange(a["s"], a["e"], dtype=np.int32)), pa.array(hashes), pa.array([0 if a["single"] else 1] * n, pa.int32()), pa.array([a["gram"]] * n, pa.int64())],
-                            names=["key", "s", "window", "more", "gram"],
+                            [pa.array([row] * n, pa.int64()), pa.array(np.arange(a["s"], a["e"], dtype=np.int32)), pa.array(hashes), pa.array([0 if a["single"] else 1] * n, pa.int32()), pa.array([a["gram"]] * n, pa.int64())],
+                            names=["row", "s", "window", "more", "gram"],
                         )
 
-    windows = compared.mapInArrow(run, "key binary, s int, window bigint, more int, gram bigint")
+    windows = compared.mapInArrow(run, "row bigint, s int, window bigint, more int, gram bigint")
     twice = windows.groupBy("gram", "window").agg(F.count(F.lit(1)).alias("n"), F.sum("more").alias("m")).where("n + m > 1")
     kept = windows.where("more = 0").join(twice.select("gram", "window"), ["gram", "window"], "left_semi")
-    return kept.select("key", "s", (F.col("s") + 1).alias("e"))
+    return kept.select("row", "s", (F.col("s") + 1).alias("e"))
 
 
 def _kept(texts: DataFrame, length: int) -> DataFrame:
@@ -294,11 +294,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), *carried)
     rows = rows.withColumn("key", F.unhex(F.md5("text")))
     keyed = rows.select("key", "text")
-    texts = landed(_texts(keyed, length, gram), "repeat-anchors")
-    anchors = texts.select("key", F.explode("anchors").alias("a")).select("key", "a.*")
+    # From here a distinct text goes by its number, which takes less room than its key.
+    texts = numbered(_texts(keyed, length, gram), "repeat-anchors")
+    anchors = texts.select("row", F.explode("anchors").alias("a")).select("row", "a.*")
 
     # Equal surroundings: every window of the anchor occurs at each of their places.
-    where = F.struct("key", "place", "s", "e")
+    where = F.struct("row", "place", "s", "e")
     around = anchors.groupBy("gram", "around").agg(F.sum("times").alias("n"), F.min(where).alias("at"))
     around = landed(around, "repeat-surroundings")
     equal = anchors.join(around.where("n > 1").select("gram", "around"), ["gram", "around"], "left_semi")
@@ -306,15 +307,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     # Different surroundings of one gram: compared byte by byte, one text for each.
     grams = around.groupBy("gram").agg(F.count(F.lit(1)).alias("different"), F.min("n").alias("least"))
     grams = grams.where("different > 1 AND least = 1").select("gram", (F.col("different") > BUCKET).alias("crowded"))
-    compared = around.join(grams, "gram").select("at.key", F.struct("gram", "at.place", "at.s", "at.e", (F.col("n") == 1).alias("single"), "crowded").alias("a"))
-    compared = compared.groupBy("key").agg(F.collect_list("a").alias("compared"))
+    compared = around.join(grams, "gram").select("at.row", F.struct("gram", "at.place", "at.s", "at.e", (F.col("n") == 1).alias("single"), "crowded").alias("a"))
+    compared = compared.groupBy("row").agg(F.collect_list("a").alias("compared")).join(texts.select("row", "key"), "row")
     whole = keyed.groupBy("key").agg(F.first("text").alias("text"))
-    compared = whole.join(compared, "key").select("key", "text", "compared")
+    compared = whole.join(compared, "key").select("row", "text", "compared")
 
-    found = equal.select("key", "s", "e").union(_sorted_buckets(_around(compared, length), length)).union(_counted_windows(compared, length))
-    found = found.union(texts.select("key", F.explode("own").alias("r")).select("key", "r.*"))
-    ranges = found.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-    ranges = texts.select("key", "rows").join(ranges, "key", "left")
+    found = equal.select("row", "s", "e").union(_sorted_buckets(_around(compared, length), length)).union(_counted_windows(compared, length))
+    found = found.union(texts.select("row", F.explode("own").alias("r")).select("row", "r.*"))
+    ranges = found.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
+    ranges = texts.select("row", "key", "rows").join(ranges, "row", "left")
     kept = _kept(whole.join(ranges.select("key", "rows", "ranges"), "key").select("key", "text", "rows", "ranges"), length)
     more = [f"__{c}" for c in keep]
     found = rows.select("id", "key", *more).join(kept, "key")
