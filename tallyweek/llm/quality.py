@@ -34,7 +34,7 @@ TRIPLES, HIDDEN, GATE = 48, 24, 12
 ROUNDS, RATE, DECAY, SMALL_BATCH = 12, 0.01, 1e-4, 128
 THRESHOLD = 0.7
 #: Bytes of text whose passages are counted at once.
-PORTION = 1 << 20
+PORTION = 1 << 18
 
 _MARKS = b"\n.,;:!?|#$%&*\"'()/<>=_-+@"
 _KINDS = len(_MARKS) + 6
