@@ -11,7 +11,8 @@ A round takes all pieces not yet placed and all open gaps:
 3. What is left over in a partition has only its rank there. The counts per partition (a few
    numbers each) are matched from the smallest gaps up, and pieces and gaps with conflicting
    wishes meet by their ranks, in one join on unique keys.
-4. Gaps shrink by what they took, and the next round begins, until no piece is left.
+4. Gaps shrink by what they took, and the next round begins, until no piece is left. Once all
+   that is left fits a task (TASK_ROWS rows), that task runs the remaining rounds.
 
 Every round places something, and a gap is filled at least by half of what fits, so the number of
 rounds grows with the logarithm of the capacity, not with the rows.
@@ -32,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import landed, landed_observed, text_bytes, values
-from tallyweek.llm.tokens import word_encoder
+from tallyweek.llm.shared import landed, landed_observed, numbered, text_bytes, values
+from tallyweek.llm.tokens import WordEncoder
 
 CAPACITY, END_TOKEN = 4096, 1
 #: Rows swept by one task.
@@ -47,7 +48,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_token:
     into pieces of at most the capacity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = word_encoder(tokenizer), np.array([end_token], "<u4").tobytes()
+        encoder, end = WordEncoder(tokenizer), np.array([end_token], "<u4").tobytes()
         for batch in batches:
             out = []
             for i, ids in zip(batch.column(0), encoder.encode(batch.column(1).to_pylist())):
@@ -132,7 +133,7 @@ def match_leftovers(parts: list[tuple[int, int, int, int, int]]) -> list[tuple[i
 
 
 def _round(state: DataFrame, capacity: int, rows: int, largest_gap: int, largest_piece: int) -> DataFrame:
-    tasks = max(1, -(-rows // TASK_ROWS))
+    tasks = -(-rows // TASK_ROWS)
     opens_from = largest_piece // 2 + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,6 +155,26 @@ def _round(state: DataFrame, capacity: int, rows: int, largest_gap: int, largest
     return dealt.select("size", "kind", "item").mapInArrow(run, f"{_STATE}, part int, rank bigint")
 
 
+def _finish(state: DataFrame, capacity: int) -> DataFrame:
+    """The remaining rounds over rows that one task may hold: there is one size range, whose sweep
+    leaves nothing to match across partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        placed: list[tuple] = []
+        while any(kind == PIECE for _, kind, _ in rows):
+            largest_gap = max((size for size, kind, _ in rows if kind == GAP), default=0)
+            largest_piece = max(size for size, kind, _ in rows if kind == PIECE)
+            out = sweep(*map(list, zip(*rows)), capacity, largest_gap, largest_piece // 2 + 1)
+            placed += [r for r in out if r[0] == PLACED]
+            rows = sorted((size, kind, item) for kind, item, size, _ in out if kind != PLACED)
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64()]
+        columns = zip(*placed) if placed else [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["kind", "item", "size", "seq"])
+
+    return state.select("size", "kind", "item").coalesce(1).mapInArrow(run, _STATE)
+
+
 def _meet(swept: DataFrame, matches: list[tuple]) -> DataFrame:
     """The rows after a round: leftover pieces placed by their ranks, gaps less what they took."""
     spark = swept.sparkSession
@@ -193,7 +214,7 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     state = items.where(F.col("size") < capacity).select(F.lit(PIECE).alias("kind"), "item", "size", F.lit(-1).cast("bigint").alias("seq"))
     measured = state.agg(*[c.alias(n) for n, c in _measures().items()]).first().asDict()
     placed = [full]
-    while measured["pieces"]:
+    while measured["rows"] > TASK_ROWS and measured["pieces"]:
         swept = landed(_round(state, capacity, measured["rows"], measured["largest_gap"] or 0, measured["largest_piece"]), "packing-sweep")
         left = swept.where(F.col("kind") != PLACED).groupBy("part").agg(
             F.count(F.when(F.col("kind") == PIECE, 1)).alias("pieces"), F.max(F.when(F.col("kind") == PIECE, F.col("size"))).alias("largest"),
@@ -213,6 +234,9 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         rows, measured = landed_observed(rows, "packing-round", **_measures())
         placed.append(rows.where(F.col("kind") == PLACED).select("item", "seq", "size"))
         state = rows.where(F.col("kind") != PLACED)
+    if measured["pieces"]:
+        last = landed(_finish(state, capacity), "packing-last")
+        placed.append(last.select("item", "seq", "size"))
     out = placed[0]
     for more in placed[1:]:
         out = out.union(more)
@@ -221,8 +245,8 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_token: int = END_TOKEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, piece, start, length, ids_crc32, sequence_id, offset): every piece with its place."""
-    cut = pieces(docs, tokenizer, capacity, end_token, id_col, text_col).withColumn("item", F.monotonically_increasing_id())
-    cut = landed(cut, "packing-pieces")
+    cut = pieces(docs, tokenizer, capacity, end_token, id_col, text_col)
+    cut = numbered(cut, "packing-pieces").withColumnRenamed("row", "item")
     placed = best_fit(cut.select("item", F.col("length").cast("int").alias("size")), capacity)
     # A sequence holds at most `capacity` pieces, as each has a token at least.
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "item").rowsBetween(Window.unboundedPreceding, -1)

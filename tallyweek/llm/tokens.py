@@ -4,53 +4,108 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-#: Words remembered by a Python worker; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Words remembered for a task, as they stand or in their plain form; beyond it the memory starts anew.
+REMEMBERED = 600_000
+#: Texts whose words are looked up together, and new words encoded in one call.
+TEXTS, WORDS = 256, 200
+#: Marks cut off the end of a word; they never share a token with the letter before them.
+MARKS = b".,!?;:#$%&*"
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> "WordEncoder":
-    return WordEncoder(path)
+def _tokenizer(path: str) -> tuple:
+    """The tokenizer, and which ids end a word."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return tokenizer, ends
+
+
+def _letters(text: str) -> bool:
+    """Only letters that stay letters in lower case and composed form."""
+    return text.isalpha() and (text.isascii() or (max(text) < "ɐ" and "İ" not in text))
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer that splits at white space and drops it.
+    """Encodes texts with a tokenizer that splits at white space, drops it and lowers case.
 
-    For such a tokenizer the ids of a text are those of its words between ASCII spaces, one after
-    another, so each different word is encoded once. All unknown words of a batch are encoded in
-    one call and told apart by their offsets.
+    The ids of a text are then those of its words between ASCII spaces, one after another. A word
+    is looked up as it stands, else as its plain form (small ASCII letters) and the marks after
+    it; only unknown plain forms are encoded, many in a call. One object serves one task, so its
+    memory is freed with the task.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer, self._ends = _tokenizer(path)
         self._known: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        text = [w.decode("utf-8", "replace") for w in words]
-        starts = np.cumsum([0, *[len(w) + 1 for w in text[:-1]]])
-        coded = self._tokenizer.encode(" ".join(text), add_special_tokens=False)
-        at = np.fromiter((o[0] for o in coded.offsets), np.int64, len(coded.offsets))
-        cuts = np.searchsorted(at, [*starts[1:], np.iinfo(np.int64).max])
-        ids, begin = np.array(coded.ids, "<u4").tobytes(), 0
-        for word, end in zip(words, cuts.tolist()):
-            self._known[word] = ids[4 * begin : 4 * end]
-            begin = end
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        base = word.rstrip(MARKS)
+        if base.isascii():
+            if len(base) < len(word) and not base[-1:].isalpha():
+                base = word
+            marks = word[len(base) :]
+            return (base if b"<|" in base else base.lower()), marks
+        if len(base) < len(word):
+            # A letter below U+0250 has two bytes at most; the end of any other isn't one.
+            last = base[-2:] if base[-1] > 127 else base[-1:]
+            if not _letters(last.decode("utf-8", "replace")):
+                base = word
+        return base, word[len(base) :]
+
+    def _encode_plain(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        simple = [k for k, t in enumerate(texts) if _letters(t)]
+        groups = [simple[a : a + WORDS] for a in range(0, len(simple), WORDS)]
+        coded = self._tokenizer.encode_batch_fast([" ".join(texts[k] for k in g) for g in groups], add_special_tokens=False)
+        done: set[int] = set()
+        for group, code in zip(groups, coded):
+            ids = np.array(code.ids, "<u4")
+            cuts = np.flatnonzero(self._ends[ids]) + 1
+            if len(cuts) == len(group):
+                data, begin = ids.tobytes(), 0
+                for k, end in zip(group, (4 * cuts).tolist()):
+                    self._known[words[k]] = data[begin:end]
+                    begin = end
+                done.update(group)
+        rest = [k for k in range(len(words)) if k not in done]
+        for k, code in zip(rest, self._tokenizer.encode_batch([texts[k] for k in rest], add_special_tokens=False)):
+            self._known[words[k]] = np.array(code.ids, "<u4").tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, parts = self._known, self._parts
+        plain = {w for w in words if w.isalpha() and w.islower()}  # of bytes: small ASCII letters
+        other = [(w, *parts(w)) for w in words - plain]
+        plain.update(base for _, base, _ in other)
+        plain.update(marks for _, _, marks in other if marks)
+        new = [w for w in plain if w not in known]
+        if new:
+            self._encode_plain(new)
+        for word, base, marks in other:
+            if marks:
+                known[word] = known[base] + known[marks]
+            elif word is not base:
+                known[word] = known[base]
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
-        out, known = [], self._known
-        for text in texts:
-            words = text.split()
-            new = [w for w in dict.fromkeys(words) if w not in known]
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            words = [text.split() for text in texts[at : at + TEXTS]]
+            wanted = set(chain.from_iterable(words))
+            new = wanted.difference(self._known)
+            if len(self._known) + len(new) > REMEMBERED:
+                self._known.clear()
+                new = wanted
             if new:
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = list(dict.fromkeys(words))
                 self._learn(new)
-            out.append(b"".join(map(known.__getitem__, words)))
+            out += [b"".join(map(self._known.__getitem__, w)) for w in words]
         return out

@@ -24,10 +24,10 @@ def _best_fit_decreasing(sizes, capacity):
     return len(rooms)
 
 
-@pytest.mark.parametrize("limits", [(500_000, 400_000), (40, 60)])
-def test_words_encode_as_whole_texts(limits, monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", limits[0])
-    monkeypatch.setattr(tokens, "PLAIN", limits[1])
+@pytest.mark.parametrize(("remembered", "at_once"), [(500_000, 256), (40, 3)])
+def test_words_encode_as_whole_texts(remembered, at_once, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", remembered)
+    monkeypatch.setattr(tokens, "TEXTS", at_once)
     rnd, alphabet = random.Random(2), "abcXYZ'sSTdD .,!?;:#$%&*<|>é́ßİıΣς—“日0123²½\n\t\x1c\xa0ǅʰªLl"
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(800)]
     texts += ["", "x<|endoftext|>y <|ENDOFTEXT|> <|startoftext|>.", "don't I'LL it's'd, he's.", "ΑΣ ΣΑΣ. İstanbul é, ≠. x≮"]
