@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import numbered
+from tallyweek.llm.shared import landed, numbered
 
 #: The record format.
 VERSION = "WARC/1.1"
@@ -85,11 +85,11 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", uri_co
     rows = numbered(rows.withColumn("digest", F.sha1(F.col("payload").cast("binary"))), "captures-to-write")
     shared = F.octet_length("payload") >= LEAST_SHARED
     # Of equal payloads the one with the largest id is stored; counted before the shuffle, so many
-    # copies of one payload are one row, and adaptive execution can split the join's copies.
-    stored = rows.where(shared).groupBy("digest").agg(F.max(F.struct("id", "row")).alias("r")).select("digest", F.col("r.row").alias("first"))
-    large = rows.where(shared).join(stored, "digest").withColumn("first", F.when(F.col("first") != F.col("row"), F.col("first")))
-    small = rows.where(~shared).withColumn("first", F.lit(None).cast("bigint"))
-    both = large.select(*small.columns).union(small)
+    # copies of one payload are one row. Only payloads that repeat are looked up: where they are few,
+    # Spark sends their list to the rows instead of moving every payload.
+    stored = rows.where(shared).groupBy("digest").agg(F.max(F.struct("id", "row")).alias("r"), F.count(F.lit(1)).alias("n"))
+    stored = landed(stored.where("n > 1").select("digest", F.col("r.row").alias("first")), "shared-payloads")
+    both = rows.join(stored, "digest", "left").withColumn("first", F.when(F.col("first") != F.col("row"), F.col("first")))
     writer = _records(both).write.option("lineSep", RECORD_END).option("compression", "gzip")
     writer.option("maxRecordsPerFile", 3 * CAPTURES_PER_FILE).text(folder)
 
