@@ -22,7 +22,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -265,23 +264,26 @@ def _counted_windows(compared: DataFrame, length: int) -> DataFrame:
     return kept.select("row", "s", (F.col("s") + 1).alias("e"))
 
 
-def _kept(texts: DataFrame, length: int) -> DataFrame:
-    """The removed spans and the remaining bytes of each distinct text."""
+def _kept(rows: DataFrame, length: int, carried: Sequence[str]) -> DataFrame:
+    """The removed spans and the remaining bytes of each row (id, n_bytes, whole, text, ranges, *carried)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, kept = [], []
-            for _, text, rows, ranges in values(batch):
-                whole = rows > 1 and len(text) >= length
+            for n, whole, text, ranges in values(batch.select(["n_bytes", "whole", "text", "ranges"])):
                 s = np.array([0] if whole else [r["s"] for r in ranges or ()], np.int64)
-                e = np.array([len(text)] if whole else [r["e"] + length - 1 for r in ranges or ()], np.int64)
+                e = np.array([n] if whole else [r["e"] + length - 1 for r in ranges or ()], np.int64)
                 s, e = merge_ranges(s, e)
                 spans.append((s, e))
-                kept.append(b"".join(text[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(text)])))
-            sizes = pa.compute.binary_length(batch.column(1)).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _lists(spans, _RANGE), pa.array(kept, pa.binary())], names=["key", "n_bytes", "spans", "kept"])
+                kept.append(b"" if whole else b"".join(text[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), n])))
+            more = [batch.column(batch.schema.get_field_index(c)) for c in carried]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), _lists(spans, _RANGE), pa.array(kept, pa.binary()), *more],
+                names=["id", "n_bytes", "spans", "kept", *carried],
+            )
 
-    return texts.mapInArrow(run, f"key binary, n_bytes bigint, spans {_RANGES_TYPE}, kept binary")
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ("id", "n_bytes", *carried)]
+    return rows.mapInArrow(run, ", ".join([*kinds[:2], f"spans {_RANGES_TYPE}", "kept binary", *kinds[2:]]))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -316,7 +318,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     found = found.union(texts.select("row", F.explode("own").alias("r")).select("row", "r.*"))
     ranges = found.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
     ranges = texts.select("row", "key", "rows").join(ranges, "row", "left")
-    kept = _kept(whole.join(ranges.select("key", "rows", "ranges"), "key").select("key", "text", "rows", "ranges"), length)
+    # A text of several rows goes whole if it is long enough; its bytes needn't reach those rows.
+    n = F.octet_length("text").cast("bigint")
+    gone = (F.col("rows") > 1) & (n >= length)
+    by_text = whole.join(ranges.select("key", "rows", "ranges"), "key")
+    by_text = by_text.select("key", n.alias("n_bytes"), gone.alias("whole"), F.when(~gone, F.col("text")).alias("text"), "ranges")
     more = [f"__{c}" for c in keep]
-    found = rows.select("id", "key", *more).join(kept, "key")
-    return found.select("id", "n_bytes", "spans", "kept", *[F.col(m).alias(c) for m, c in zip(more, keep)])
+    joined = rows.select("id", "key", *more).join(by_text, "key").select("id", "n_bytes", "whole", "text", "ranges", *more)
+    return _kept(joined, length, more).withColumnsRenamed(dict(zip(more, keep)))
