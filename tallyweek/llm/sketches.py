@@ -11,8 +11,9 @@ square. A sub-sketch that can't be peeled is built again with twice the cells an
 The likeness is the share of common digests among all. Everything is built-in functions.
 
 Defined results: a null text counts as empty; two documents without paragraphs are alike (1.0);
-documents with equal or null ids follow each other by their place in the table, null ids last;
-a single document is followed by itself; other columns are ignored; an empty table gives an
+documents with equal ids follow each other by a hash of their texts, null ids come last; rows that
+repeat id and text take one place in that order and each get its result; a single document is
+followed by itself; other columns are ignored; an empty table gives an
 empty result.
 """
 
@@ -21,11 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import landed, landed_observed, numbered
+from tallyweek.llm.shared import landed, landed_observed
 
-PARAGRAPH, DIGESTS, HASHES = 400, 8, 3
+PARAGRAPH, DIGESTS, HASHES = 1000, 8, 3
 #: Cells per hash of the printed sketch and of the first attempt.
-PRINTED, FIRST = 4, 8
+PRINTED, FIRST = 2, 8
 
 
 def digests(text: Column) -> Column:
@@ -59,37 +60,44 @@ def printed(found: Column) -> Column:
 
 
 def following(rows: DataFrame) -> DataFrame:
-    """Rows (row, after, half): the row that follows in descending id, the first after the last.
+    """Rows (key, id, copies, after, half): the key that follows in descending id, the first after
+    the last.
 
     Rows are range-sorted; within a sorted partition a window finds the next row, and only the
     first row of each partition takes part in a window over all partitions.
     """
-    order = [F.col("id").desc_nulls_last(), F.col("row").asc()]
-    dealt = rows.select("row", "id", F.floor(F.col("n_chars") / 2).cast("int").alias("half")).repartitionByRange(*order)
+    order = [F.col("id").desc_nulls_last(), F.col("key").asc()]
+    half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
+    dealt = rows.select("key", "id", half).groupBy("key", "id", "half").agg(F.count(F.lit(1)).alias("copies")).repartitionByRange(*order)
     dealt = landed(dealt.withColumn("block", F.spark_partition_id()), "id-order")
     inside = Window.partitionBy("block").orderBy(*order)
-    placed = dealt.withColumn("after", F.lead("row").over(inside)).withColumn("first", F.row_number().over(inside) == 1)
-    heads = placed.where("first").select("block", F.col("row").alias("head"))
+    placed = dealt.withColumn("after", F.lead("key").over(inside)).withColumn("first", F.row_number().over(inside) == 1)
+    heads = placed.where("first").select("block", F.col("key").alias("head"))
     blocks = Window.orderBy("block")  # a row per partition
     whole = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select("block", F.coalesce(F.lead("head").over(blocks), F.first("head").over(whole)).alias("next_head"))
     joined = placed.join(heads, "block")
-    return joined.select("row", F.coalesce("after", "next_head").alias("after"), "half")
+    return joined.select("key", "id", "copies", F.coalesce("after", "next_head").alias("after"), "half")
 
 
 def versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Each document with its edited text and the digests of itself, the edited and the next text."""
+    """Each different document with its edited text's digests, its own, and the next text's.
+
+    The key stands for id and text. Texts are exchanged once by it: the copy that is edited and the
+    copy that follows another document come from the same exchange.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = numbered(rows, "numbered-texts")
-    after = following(rows.withColumn("n_chars", F.length("text")))
-    texts = rows.select("row", "id", "text")
-    following_texts = texts.select(F.col("row").alias("after"), F.col("text").alias("next_text")).join(after, "after")
-    following_texts = following_texts.select("row", F.col("next_text").substr(F.lit(1), F.col("half")).alias("start"), digests(F.col("next_text")).alias("other"), "half")
-    both = texts.join(following_texts, "row")
+    named = F.concat_ws("/", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.md5(F.col("text").cast("binary")))
+    rows = rows.withColumn("key", F.unhex(F.md5(named.cast("binary"))))
+    after = following(rows.withColumn("n_chars", F.length("text"))).withColumnRenamed("key", "of")
+    texts = rows.groupBy("key").agg(F.first("text").alias("text"))
+    starts = texts.join(after, texts.key == after.after)
+    starts = starts.select("of", "id", "copies", F.col("text").substr(F.lit(1), F.col("half")).alias("start"), digests(F.col("text")).alias("other"), "half")
+    both = texts.join(starts, texts.key == starts.of)
     n = F.length("text")
     edited = F.concat(F.col("text").substr(F.lit(1), n - F.col("half")), F.col("start"))
-    both = both.select("row", "id", n.cast("bigint").alias("n_chars"), digests(F.col("text")).alias("own"), "other", edited.alias("edited"))
-    both = both.select("row", "id", "n_chars", "own", "other", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("edited")).alias("changed"))
+    both = both.select("key", "id", "copies", n.cast("bigint").alias("n_chars"), digests(F.col("text")).alias("own"), "other", edited.alias("edited"))
+    both = both.select("key", "id", "copies", "n_chars", "own", "other", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("edited")).alias("changed"))
     return both.withColumns({"fingerprint": printed(F.col("own")), "edited_fingerprint": printed(F.col("changed"))})
 
 
@@ -116,16 +124,16 @@ def _peeled(cells: Column, per_hash: int, attempt: int) -> Column:
 
 
 def _attempt(pairs: DataFrame, todo: DataFrame | None, attempt: int) -> DataFrame:
-    """Rows (row, pair, part, n, done): every sub-sketch with a difference, subtracted and peeled."""
+    """Rows (key, pair, part, n, done): every sub-sketch with a difference, subtracted and peeled."""
     per_hash = FIRST << attempt
-    place = ["row", "pair", "part"]
+    place = ["key", "pair", "part"]
     signed = F.concat(
         F.transform("plus", lambda k: F.struct(k.alias("k"), F.lit(1).alias("sign"))),
         F.transform("minus", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("sign"))),
     )
     parts = F.ceil((F.size("plus") + F.size("minus")) / DIGESTS)
-    keys = pairs.select("row", "pair", parts.alias("parts"), F.explode(signed).alias("key")).select(
-        "row", "pair", F.pmod(F.xxhash64("key.k", F.lit("part")), F.col("parts")).cast("int").alias("part"), "key.k", "key.sign"
+    keys = pairs.select("key", "pair", parts.alias("parts"), F.explode(signed).alias("one")).select(
+        "key", "pair", F.pmod(F.xxhash64("one.k", F.lit("part")), F.col("parts")).cast("int").alias("part"), "one.k", "one.sign"
     )
     if todo is not None:
         keys = keys.join(todo, place, "left_semi")
@@ -141,19 +149,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sketched = landed(versions(docs, id_col, text_col), "paragraph-digests")
     arms = F.array(*[F.struct(F.lit(i).alias("pair"), F.col("own").alias("plus"), F.col(c).alias("minus")) for i, c in enumerate(("changed", "other"))])
     # All sub-sketches of a document are made where its digests are: one exchange of the digests.
-    pairs = sketched.select("row", "own", "changed", "other").repartition("row").select("row", F.explode(arms).alias("arm")).select("row", "arm.*")
+    pairs = sketched.select("key", "own", "changed", "other").repartition("key").select("key", F.explode(arms).alias("arm")).select("key", "arm.*")
     todo, attempt, found = None, 0, []
     while True:
         table, seen = landed_observed(_attempt(pairs, todo, attempt), "peeled", failed=F.count_if(~F.col("done")))
-        found.append(table.where("done").select("row", "pair", "n"))
+        found.append(table.where("done").select("key", "pair", "n"))
         if not seen["failed"]:
             break
-        todo, attempt = table.where("NOT done").select("row", "pair", "part"), attempt + 1
+        todo, attempt = table.where("NOT done").select("key", "pair", "part"), attempt + 1
     different = found[0]
     for more in found[1:]:
         different = different.union(more)
-    counts = different.groupBy("row").agg(*[F.sum(F.when(F.col("pair") == i, F.col("n"))).alias(c) for i, c in enumerate(("n_changed", "n_other"))])
-    rows = sketched.join(counts, "row", "left")
+    counts = different.groupBy("key").agg(*[F.sum(F.when(F.col("pair") == i, F.col("n"))).alias(c) for i, c in enumerate(("n_changed", "n_other"))])
+    rows = sketched.join(counts, "key", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
 
     def likeness(other: str, n: str) -> Column:
         total, apart = F.size("own") + F.size(other), F.coalesce(F.col(n), F.lit(0))

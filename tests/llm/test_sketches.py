@@ -26,7 +26,7 @@ def test_against_sets(texts, first, part, monkeypatch):
     rnd = random.Random(6)
     lines = [f"paragraph {i} é" for i in range(60)]
     rows = [(i * 3, "\n".join(rnd.choice(lines) for _ in range(rnd.randint(0, 25)))) for i in range(40)]
-    rows += [(500, None), (501, ""), (502, "One sentence. " * 60 + "Last one"), (503, "y" * 3000), (504, "\n\n"), (505, rows[4][1])]
+    rows += [(500, None), (501, ""), (502, "One sentence. " * 90 + "Last one"), (503, "y" * 3000), (504, "\n\n"), (505, rows[4][1])]
     got = {r.id: r for r in sketches.fingerprints(texts(rows)).collect()}
     order = sorted(((i, t or "") for i, t in rows), reverse=True)
     assert len(got) == len(rows)
