@@ -1,12 +1,20 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A paragraph is a line; a line beyond PARAGRAPH characters counts as its sentences. The set of a
-document's paragraph digests is sketched in cells of (count, xor of digests, xor of check hashes);
-every digest is in three of them. Cells of two versions subtract, which cancels what they share.
-Peeling takes a digest out of a cell that holds just one, and out of its two other cells, until
-all cells are zero: then the digests by which the versions differ are recovered. Digests are first
-dealt by hash into sub-sketches of about DIGESTS each, so work grows with the text and not its
-square. A sub-sketch that can't be peeled is built again with twice the cells and other hashes.
+A paragraph is a sentence of a line. A sentence beyond SENTENCE characters is cut where the hash of
+neighbouring words says so, and what is still long (text without spaces) where that of neighbouring
+characters does: cuts depend on the text around them only, so an edit changes the paragraphs it meets.
+
+The set of a document's paragraph digests is sketched in cells of (count, xor of digests, xor of
+check hashes); every digest is in three of them. Digests are first dealt by hash into parts, a power
+of two by the number of digests, so work grows with the text and not its square. Cells of two
+versions subtract, which cancels what they share. Peeling takes a digest out of a cell that holds
+just one, and out of its two other cells, until all cells are zero: then the digests by which the
+versions differ are recovered. A part that can't be peeled is built again with twice the cells.
+
+A fingerprint is a whole sketch: it is sized so that it can be peeled by itself, and depends on the
+text only. Two fingerprints with different parts or cells are subtracted in the larger number of
+parts, into which the digests peeled from the smaller one are dealt; a difference that can't be
+peeled has the cells of both doubled. So likenesses and differing digests follow from fingerprints.
 
 The likeness is the share of common digests among all. Everything is built-in functions.
 
@@ -19,44 +27,162 @@ empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import landed, landed_observed
+from tallyweek.llm.shared import landed
+
+#: Lines beyond PARAGRAPH characters are cut into sentences, sentences beyond SENTENCE into chunks.
+PARAGRAPH, SENTENCE = 0, 200
+#: Digests of two texts in a part, and cells per hash of the first attempt.
+DIGESTS, HASHES, FIRST = 8, 3, 8
+#: Doublings of the cells: beyond these, only equal digests could be left.
+DOUBLINGS = 30
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def runs(rows: Column, starts: Callable[[Column, Column], Column], use: Callable[[Column], Column]) -> Column:
+    """``use`` of each run of the rows; a run starts at place i (from 1) where ``starts(rows, i)``."""
+    def cut(r: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(1), F.size(r)), lambda i: (i == 1) | starts(r, i))
+        return bound(places, lambda at: F.transform(at, lambda i, j: use(F.slice(r, i, F.coalesce(F.get(at, j + 1), F.size(r) + 1) - i))))
+
+    return bound(rows, lambda r: F.when(F.size(r) > 0, cut(r)).otherwise(F.array()))
+
 
-PARAGRAPH, DIGESTS, HASHES = 1000, 8, 3
-#: Cells per hash of the printed sketch and of the first attempt.
-PRINTED, FIRST = 2, 8
+def chunks(text: Column, between: str, window: int, mean: int) -> Column:
+    """The text cut after units whose hash, with that of the units before, is one in ``mean``."""
+    def starts(units: Column, i: Column) -> Column:
+        near = [F.coalesce(F.get(units, i - 2 - k), F.lit("")) for k in range(window)]
+        return F.pmod(F.xxhash64(*near), F.lit(mean)) == 0
+
+    return runs(F.split(text, between), starts, lambda units: F.array_join(units, between))
 
 
 def digests(text: Column) -> Column:
     """The different hashes of the text's paragraphs that aren't empty."""
-    lines = F.filter(F.split(text, "\n"), lambda p: p != "")
-    parts = F.transform(lines, lambda p: F.when(F.length(p) > PARAGRAPH, F.split(p, "(?<=[.!?]) ")).otherwise(F.array(p)))
-    return F.array_distinct(F.transform(F.flatten(parts), lambda p: F.xxhash64(p)))
+    lines = F.filter(F.split(text, "\n"), lambda p: F.length(p) > PARAGRAPH)
+    sentences = F.filter(F.flatten(F.transform(lines, lambda p: F.split(p, "(?<=[.!?]) "))), lambda p: p != "")
+
+    def short(sentence: Column) -> Column:
+        by_words = F.transform(
+            chunks(sentence, " ", 2, 16), lambda c: F.when(F.length(c) > 2 * SENTENCE, chunks(c, "", 4, 64)).otherwise(F.array(c))
+        )
+        return F.when(F.length(sentence) > SENTENCE, F.flatten(by_words)).otherwise(F.array(sentence))
+
+    return F.array_distinct(F.transform(F.flatten(F.transform(sentences, short)), lambda p: F.xxhash64(p)))
 
 
 def check(key: Column) -> Column:
     return F.xxhash64(key, F.lit("check"))
 
 
-def cells_of(key: Column, per_hash: int, attempt: int) -> list[Column]:
-    return [(F.pmod(F.xxhash64(key, F.lit(attempt), F.lit(j)), F.lit(per_hash)) + j * per_hash).cast("int") for j in range(HASHES)]
+def cells_of(key: Column, per_hash: Column) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(key, per_hash, F.lit(j)), per_hash) + j * per_hash for j in range(HASHES)])
 
 
-def printed(found: Column) -> Column:
-    """A sketch as text: the number of digests, then (count, digest xor, check xor) of each cell."""
+def n_parts(found: Column) -> Column:
+    """The least power of two that gives a part at most half of DIGESTS on average."""
+    least = F.greatest(F.lit(1), F.ceil(2 * F.size(found) / DIGESTS))
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(F.bin(2 * least - 1)) - 1)
+
+
+def signed(found: Column, sign: int) -> Column:
+    return F.transform(found, lambda k: F.struct(k.alias("k"), F.lit(sign).alias("sign")))
+
+
+def _cells(members: Column, per_hash: Column) -> Column:
+    """The cells that aren't zero, by place, of members (k, sign)."""
+    placed = F.flatten(F.transform(members, lambda x: F.transform(
+        cells_of(x["k"], per_hash), lambda c: F.struct(c.alias("cell"), x["k"].alias("k"), x["sign"].alias("sign"))
+    )))
+
     def cell(own: Column) -> Column:
-        both = F.aggregate(
-            own, F.struct(F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("h")),
-            lambda s, k: F.struct(s["k"].bitwiseXOR(k).alias("k"), s["h"].bitwiseXOR(check(k)).alias("h")),
-        )
-        return F.concat_ws(".", F.size(own).cast("string"), F.lower(F.hex(both["k"])), F.lower(F.hex(both["h"])))
+        zero = F.struct(F.get(own, F.lit(0))["cell"].alias("cell"), F.lit(0).alias("c"), F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("h"))
+        return F.aggregate(own, zero, lambda s, x: F.struct(
+            s["cell"].alias("cell"), (s["c"] + x["sign"]).alias("c"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["h"].bitwiseXOR(check(x["k"])).alias("h")
+        ))
+
+    made = runs(F.array_sort(placed), lambda r, i: F.get(r, i - 1)["cell"] != F.get(r, i - 2)["cell"], cell)
+    return F.filter(made, lambda y: (y["c"] != 0) | (y["k"] != 0) | (y["h"] != 0))
+
+
+def _peeled(cells: Column, per_hash: Column) -> Column:
+    """(cells that are left, number of digests taken out) of a difference of sketches."""
+    def take(state: Column, _: Column) -> Column:
+        single = F.get(F.filter(state["cells"], lambda x: (F.abs(x["c"]) == 1) & (check(x["k"]) == x["h"])), F.lit(0))
+        known = F.struct(single.alias("x"))
+
+        def without(x: Column) -> Column:
+            fewer = bound(cells_of(x["k"], per_hash), lambda at: F.transform(state["cells"], lambda y: F.when(
+                F.array_contains(at, y["cell"]),
+                F.struct(y["cell"].alias("cell"), (y["c"] - x["c"]).alias("c"), y["k"].bitwiseXOR(x["k"]).alias("k"), y["h"].bitwiseXOR(x["h"]).alias("h")),
+            ).otherwise(y)))
+            left = F.filter(fewer, lambda y: (y["c"] != 0) | (y["k"] != 0) | (y["h"] != 0))
+            return F.struct(left.alias("cells"), (state["n"] + 1).alias("n"))
+
+        return bound(known, lambda s: F.when(s["x"].isNull(), state).otherwise(without(s["x"])))
+
+    start = F.struct(cells.alias("cells"), F.lit(0).cast("bigint").alias("n"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(cells), F.lit(1))), start, take)
+
+
+def sketch(members: Column, parts: Column) -> Column:
+    """The parts that hold members (k, sign): (part, per_hash, cells, n), with the cells of the first
+    attempt that peels, and the number of digests peeled."""
+    dealt = F.array_sort(F.transform(members, lambda x: F.struct(
+        F.pmod(F.xxhash64(x["k"], F.lit("part")), parts).alias("part"), x["k"].alias("k"), x["sign"].alias("sign")
+    )))
+
+    def attempts(own: Column) -> Column:
+        none = F.filter(_cells(own, F.lit(1).cast("bigint")), lambda _: F.lit(False))
+        start = F.struct(F.lit(0).cast("bigint").alias("per_hash"), none.alias("cells"), F.lit(-1).cast("bigint").alias("n"))
+
+        def again(state: Column, doubled: Column) -> Column:
+            def tried(t: Column) -> Column:
+                done = bound(_peeled(t["cells"], t["per_hash"]), lambda p: F.when(F.size(p["cells"]) == 0, p["n"]).otherwise(F.lit(-1).cast("bigint")))
+                return F.struct(t["per_hash"].alias("per_hash"), t["cells"].alias("cells"), done.alias("n"))
+
+            made = lambda size: F.struct(size.alias("per_hash"), _cells(own, size).alias("cells"))
+            size = F.lit(FIRST).cast("bigint") * F.call_function("shiftleft", F.lit(1).cast("bigint"), doubled)
+            return F.when(state["n"] >= 0, state).otherwise(bound(size, lambda z: bound(made(z), tried)))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(DOUBLINGS)), start, again)
+
+    def part(own: Column) -> Column:
+        return bound(attempts(own), lambda s: F.struct(
+            F.get(own, F.lit(0))["part"].alias("part"), s["per_hash"].alias("per_hash"), s["cells"].alias("cells"), s["n"].alias("n")
+        ))
 
-    def members(cell: int) -> Column:
-        return F.filter(found, lambda k: cells_of(k, PRINTED, 0)[cell // PRINTED] == cell)
+    return runs(dealt, lambda r, i: F.get(r, i - 1)["part"] != F.get(r, i - 2)["part"], part)
 
-    return F.concat_ws("-", F.size(found).cast("string"), F.transform(F.array(*map(members, range(HASHES * PRINTED))), cell))
+
+def printed(found: Column) -> Column:
+    """The sketch of digests as text: the numbers of digests and parts, then of each part that isn't
+    empty its number, cells per hash, and (cell, count, digest xor, check xor) of each cell."""
+    def cell(y: Column) -> Column:
+        return F.concat_ws(".", y["cell"].cast("string"), y["c"].cast("string"), F.lower(F.hex(y["k"])), F.lower(F.hex(y["h"])))
+
+    def part(p: Column) -> Column:
+        return F.concat_ws(":", p["part"].cast("string"), p["per_hash"].cast("string"), F.concat_ws(",", F.transform(p["cells"], cell)))
+
+    parts = F.transform(sketch(signed(found, 1), n_parts(found)), part)
+    return F.concat_ws("-", F.size(found).cast("string"), n_parts(found).cast("string"), parts)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """The share of common digests, by the difference of the sketches of two sets of digests."""
+    apart = F.aggregate(
+        sketch(F.concat(signed(a, 1), signed(b, -1)), F.greatest(n_parts(a), n_parts(b))), F.lit(0).cast("bigint"), lambda n, p: n + p["n"]
+    )
+    total = F.size(a) + F.size(b)
+    return F.when(total == 0, 1.0).otherwise(bound(apart, lambda n: (total - n) / (total + n)))
 
 
 def following(rows: DataFrame) -> DataFrame:
@@ -98,76 +224,15 @@ def versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     edited = F.concat(F.col("text").substr(F.lit(1), n - F.col("half")), F.col("start"))
     both = both.select("key", "id", "copies", n.cast("bigint").alias("n_chars"), digests(F.col("text")).alias("own"), "other", edited.alias("edited"))
     both = both.select("key", "id", "copies", "n_chars", "own", "other", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("edited")).alias("changed"))
-    return both.withColumns({"fingerprint": printed(F.col("own")), "edited_fingerprint": printed(F.col("changed"))})
-
-
-def _peeled(cells: Column, per_hash: int, attempt: int) -> Column:
-    """(cells that are left, digests taken out) of a difference of sketches."""
-    def take(state: Column, _: Column) -> Column:
-        single = F.get(F.filter(state["cells"], lambda x: (F.abs(x["c"]) == 1) & (check(x["k"]) == x["h"])), F.lit(0))
-        known = F.transform(
-            F.array(single),  # bound once
-            lambda x: F.struct(x["c"].alias("c"), x["k"].alias("k"), x["h"].alias("h"), F.array(*cells_of(x["k"], per_hash, attempt)).alias("at")),
-        )
-        def without(x: Column) -> Column:
-            fewer = F.transform(state["cells"], lambda y: F.when(
-                F.array_contains(x["at"], y["cell"]),
-                F.struct(y["cell"].alias("cell"), (y["c"] - x["c"]).alias("c"), y["k"].bitwiseXOR(x["k"]).alias("k"), y["h"].bitwiseXOR(x["h"]).alias("h")),
-            ).otherwise(y))
-            left = F.filter(fewer, lambda y: (y["c"] != 0) | (y["k"] != 0) | (y["h"] != 0))
-            return F.struct(left.alias("cells"), (state["n"] + 1).alias("n"))
-
-        return F.get(F.transform(known, lambda x: F.when(x["c"].isNull(), state).otherwise(without(x))), F.lit(0))
-
-    start = F.struct(cells.alias("cells"), F.lit(0).cast("bigint").alias("n"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(cells), F.lit(1))), start, take)
-
-
-def _attempt(pairs: DataFrame, todo: DataFrame | None, attempt: int) -> DataFrame:
-    """Rows (key, pair, part, n, done): every sub-sketch with a difference, subtracted and peeled."""
-    per_hash = FIRST << attempt
-    place = ["key", "pair", "part"]
-    signed = F.concat(
-        F.transform("plus", lambda k: F.struct(k.alias("k"), F.lit(1).alias("sign"))),
-        F.transform("minus", lambda k: F.struct(k.alias("k"), F.lit(-1).alias("sign"))),
-    )
-    parts = F.ceil((F.size("plus") + F.size("minus")) / DIGESTS)
-    keys = pairs.select("key", "pair", parts.alias("parts"), F.explode(signed).alias("one")).select(
-        "key", "pair", F.pmod(F.xxhash64("one.k", F.lit("part")), F.col("parts")).cast("int").alias("part"), "one.k", "one.sign"
-    )
-    if todo is not None:
-        keys = keys.join(todo, place, "left_semi")
-    cells = keys.select(*place, "k", "sign", F.explode(F.array(*cells_of(F.col("k"), per_hash, attempt))).alias("cell"))
-    cells = cells.groupBy(*place, "cell").agg(F.sum("sign").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor(check(F.col("k"))).alias("h"))
-    cells = cells.where("c <> 0 OR k <> 0 OR h <> 0").groupBy(*place).agg(F.collect_list(F.struct("cell", "c", "k", "h")).alias("cells"))
-    done = cells.select(*place, _peeled(F.col("cells"), per_hash, attempt).alias("p"))
-    return done.select(*place, "p.n", (F.size("p.cells") == 0).alias("done"))
+    return both
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)."""
-    sketched = landed(versions(docs, id_col, text_col), "paragraph-digests")
-    arms = F.array(*[F.struct(F.lit(i).alias("pair"), F.col("own").alias("plus"), F.col(c).alias("minus")) for i, c in enumerate(("changed", "other"))])
-    # All sub-sketches of a document are made where its digests are: one exchange of the digests.
-    pairs = sketched.select("key", "own", "changed", "other").repartition("key").select("key", F.explode(arms).alias("arm")).select("key", "arm.*")
-    todo, attempt, found = None, 0, []
-    while True:
-        table, seen = landed_observed(_attempt(pairs, todo, attempt), "peeled", failed=F.count_if(~F.col("done")))
-        found.append(table.where("done").select("key", "pair", "n"))
-        if not seen["failed"]:
-            break
-        todo, attempt = table.where("NOT done").select("key", "pair", "part"), attempt + 1
-    different = found[0]
-    for more in found[1:]:
-        different = different.union(more)
-    counts = different.groupBy("key").agg(*[F.sum(F.when(F.col("pair") == i, F.col("n"))).alias(c) for i, c in enumerate(("n_changed", "n_other"))])
-    rows = sketched.join(counts, "key", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-
-    def likeness(other: str, n: str) -> Column:
-        total, apart = F.size("own") + F.size(other), F.coalesce(F.col(n), F.lit(0))
-        return F.when(total == 0, 1.0).otherwise((total - apart) / (total + apart))
-
-    return rows.select(
-        "id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness("changed", "n_changed").alias("near_edited"), likeness("other", "n_other").alias("near_next"),
+    own, changed, other = F.col("own"), F.col("changed"), F.col("other")
+    rows = versions(docs, id_col, text_col).select(
+        "id", "copies", "n_chars", "edited_sha256", printed(own).alias("fingerprint"), printed(changed).alias("edited_fingerprint"),
+        likeness(own, changed).alias("near_edited"), likeness(own, other).alias("near_next"),
     )
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.drop("copies", "copy")

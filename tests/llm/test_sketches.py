@@ -46,3 +46,72 @@ def test_repeated_null_and_single_rows(texts):
     alone = sketches.fingerprints(texts([(1, "x\ny")])).collect()
     assert [(r.near_next, r.n_chars) for r in alone] == [(1.0, 3)]
     assert sketches.fingerprints(texts([])).collect() == []
+
+
+def _chained(*values):
+    """Spark's xxhash64 of several values."""
+    import xxhash
+
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else (v % 2 ** (32 if abs(v) < 1000 and v in range(3) else 64)).to_bytes(4 if v in range(3) else 8, "little")
+        seed = xxhash.xxh64(data, seed=seed).intdigest()
+    return seed
+
+
+def _signed(n):
+    return n - 2**64 if n >= 2**63 else n
+
+
+def _read(fingerprint):
+    """(digests, parts, {(part, cells per hash): {cell: [count, key, check]}}) of a printed sketch."""
+    n, parts, *rest = re.split(r"-(?=\d+:|\d+(?:-|$))", fingerprint)
+    out = {}
+    for one in rest:
+        part, per_hash, cells = one.split(":")
+        out[int(part), int(per_hash)] = {int(c): [int(k), int(a, 16), int(b, 16)] for c, k, a, b in (x.split(".") for x in cells.split(",") if x)}
+    return int(n), int(parts), out
+
+
+def _peel(cells, per_hash):
+    """{digest: count} of a sketch's cells."""
+    cells, out = {c: list(v) for c, v in cells.items()}, {}
+    while pure := next((v[:] for v in cells.values() if abs(v[0]) == 1 and _chained(_signed(v[1]), "check") == v[2]), None):
+        count, key, check = pure
+        out[key] = count
+        for j in range(3):
+            at = _signed(_chained(_signed(key), per_hash + 2**64, j)) % per_hash + j * per_hash
+            cell = cells[at]
+            cell[0] -= count
+            cell[1] ^= key
+            cell[2] ^= check
+    assert all(v == [0, 0, 0] for v in cells.values())
+    return out
+
+
+def test_fingerprints_hold_the_differences(texts):
+    """The likeness and the differing digests follow from the two fingerprints that are returned."""
+    rnd = random.Random(7)
+    rows = [(i, " ".join(f"Sentence {rnd.randint(0, 400)} of them." for _ in range(n))) for i, n in enumerate([3, 40, 300, 300])]
+    for r in sketches.fingerprints(texts(rows)).collect():
+        a, b = ({k for (_, size), cells in _read(f)[2].items() for k in _peel(cells, size)} for f in (r.fingerprint, r.edited_fingerprint))
+        assert len(a) == _read(r.fingerprint)[0] and len(a) == len(_paragraphs(dict(rows)[r.id]))
+        assert r.near_edited == pytest.approx(len(a & b) / len(a | b))
+        # Parts of equal sizes subtract without being peeled before.
+        (_, parts_a, one), (_, parts_b, two) = _read(r.fingerprint), _read(r.edited_fingerprint)
+        for place in one.keys() & two.keys() if parts_a == parts_b else ():
+            apart = {c: [x - y if i == 0 else x ^ y for i, (x, y) in enumerate(zip(one[place].get(c, [0] * 3), two[place].get(c, [0] * 3)))] for c in one[place].keys() | two[place].keys()}
+            try:
+                found = _peel(apart, place[1])
+            except AssertionError:
+                continue  # both are doubled then
+            assert found.keys() <= a ^ b
+
+
+def test_edits_in_long_lines_leave_the_rest(texts):
+    rnd = random.Random(8)
+    words = [" ".join(f"w{rnd.randint(0, 999)}" for _ in range(n)) for n in (150, 190, 3000)]
+    unspaced = "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(4000))
+    sentences = " ".join(f"Here is number {i} of a line." for i in range(30))
+    got = {r.id: r for r in sketches.fingerprints(texts([*enumerate(words), (3, unspaced), (4, sentences)])).collect()}
+    assert len(sentences) < 1000 and all(got[i].near_edited > 0.1 for i in got), got
