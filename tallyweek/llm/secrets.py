@@ -41,8 +41,8 @@ PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|non
 LEAST_SCORE = 1.0
 
 _NAME = r"[^\W\d][\w-]*(?:\.[\w-]+)*"
-#: A sensitive part followed by an assignment, without which nothing is read.
-HINT = re.compile(r"""(?i)(?:pass|pwd|secret|token|key|cred|auth|bearer|salt|dsn)[\w.-]*["'\]]*[ \t]*(?::=|=>|[:=])""")
+#: A word that counts followed by an assignment or annotation, without which nothing is read.
+HINT = re.compile(rf"""(?i)(?:{"|".join(SENSITIVE)})[\w.-]*["'\]]*[ \t]*[?!]?[ \t]*[:=]""")
 TOKEN = re.compile(
     rf"""(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<note>(?:\#|//)[^\n]*)|(?P<name>{_NAME})|(?P<op>:=|=>|==|[=:+])|(?P<bare>[^\s"'=:+,;(){{}}\[\]<>]+)|(?P<end>[\n,;(){{}}])|(?P<other>\S)"""
 )
@@ -60,17 +60,44 @@ def base_spans(text: str) -> list[Span]:
     return out + [("hex", *m.span(), 1.0) for m in HEX.finditer(text)]
 
 
+def assigned(tokens: list[re.Match], i: int) -> int | None:
+    """The place of the operator that gives the name at place i a value, past the bracket of a
+    subscript and a type annotation."""
+    kind = lambda j: tokens[j].lastgroup if j < len(tokens) else "end"
+    said = lambda j: tokens[j].group() if j < len(tokens) else ""
+    at = i + 1
+    if i and said(i - 1) == "[" and said(at) == "]":
+        at += 1
+    if said(at) in ("?", "!"):
+        at += 1
+    if kind(at) != "op" or said(at) not in ("=", ":=", ":", "=>"):
+        return None
+    if said(at) == ":":
+        depth, last = 0, ""
+        for j in range(at + 1, len(tokens)):
+            word = said(j)
+            if kind(j) == "op":
+                return j if word == "=" and last and not depth else at
+            depth += (word in "[<") - (word in "]>")
+            # One type outside of brackets: a second name is prose or another key.
+            is_name = kind(j) == "name" or kind(j) == "bare" and any(c.isalnum() for c in word)
+            if kind(j) == "text" or kind(j) == "note" or kind(j) == "end" and not (word == "," and depth) or is_name and last == "name" and not depth:
+                return at
+            last = "name" if is_name else word
+    return at
+
+
 def name_literal_pairs(text: str) -> Iterator[tuple[str, list[tuple[str, object]]]]:
     """(name, parts) of every assignment: a part is ("literal", (start, end)) or ("name", other)."""
     tokens = list(TOKEN.finditer(text))
-    for i, at in enumerate(tokens[:-1]):
-        if at.lastgroup not in ("name", "text") or tokens[i + 1].lastgroup != "op" or tokens[i + 1].group() not in ("=", ":=", ":", "=>"):
+    for i, token in enumerate(tokens[:-1]):
+        if token.lastgroup not in ("name", "text") or (op := assigned(tokens, i)) is None:
             continue
-        name = at.group().strip("\"'")
+        name = token.group().strip("\"'")
         # An unquoted value up to the end of its line: KEY=value, key: value.
-        bare = BARE.match(text, tokens[i + 1].end())
+        bare = BARE.match(text, tokens[op].end())
         parts: list[tuple[str, object]] = []
-        for token in tokens[i + 2 :]:
+        for token in map(tokens.__getitem__, range(op + 1, len(tokens))):
             if token.lastgroup == "text":
                 parts.append(("literal", (token.start() + 1, token.end() - 1)))
             elif token.lastgroup == "name" and (not bare or re.fullmatch(_NAME, bare[1])):

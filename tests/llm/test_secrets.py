@@ -64,3 +64,21 @@ def test_rows_and_redaction(spark, texts, tmp_path):
 def test_overlapping_spans_are_cut_once(texts):
     text = 'secret="' + "0a" * 15 + '" and ' + "0b" * 12
     assert secrets.redact(texts([(1, text)])).first().text == '[SECRET]" and [SECRET]'
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ('os.environ["DB_PASSWORD"] = "Zx8#kLm9Qp"\n', ["Zx8#kLm9Qp"]),
+        ('settings["db"][AUTH_KEY] = "Zx8#kLm9Qp"\n', ["Zx8#kLm9Qp"]),
+        ('password: str = "Zx8#kLm9Qp"\n', ["Zx8#kLm9Qp"]),
+        ('const authKey: string = "Zx8#kLm9Qp";', ["Zx8#kLm9Qp"]),
+        ('def f(user: str, auth_key: dict[str, int] | None = "Zx8#kLm9Qp"): pass', ["Zx8#kLm9Qp"]),
+        ('authKey?: string = "Zx8#kLm9Qp"', ["Zx8#kLm9Qp"]),
+        ('private = "Zx8#kLm9Qp"', ["Zx8#kLm9Qp"]),
+        ("auth_key: str\nname = \"Zx8#kLm9Qp\"", []),
+        ("{auth_key: value, name = \"Zx8#kLm9Qp\"}", []),
+    ],
+)
+def test_subscripts_and_annotations(text, found):
+    assert [text[a:b] for kind, a, b, _ in secrets.spans_of(text) if kind == "named"] == found
