@@ -130,22 +130,36 @@ def named_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, directly or through constants."""
     if not HINT.search(text):
         return []
-    constants: dict[str, list[tuple[int, int]]] = {}
+    # A constant holds its literals and, shared, the constants it is put together from.
+    constants: dict[str, list] = {}
     found: dict[tuple[int, int], float] = {}
+    reached: dict[int, float] = {}
+    kept: list[list] = []  # so that no two have the same id
     for name, parts in name_literal_pairs(text):
-        literals: list[tuple[int, int]] = []
+        own: list = []
         named = [v for kind, v in parts if kind == "name" and v in constants]
         for kind, value in parts:
             if kind == "name":
-                literals += constants.get(value, [])
+                own += [constants[value]] if value in constants else []
             elif not named or text[value[0] : value[1]] not in named:
-                literals.append(value)
-        constants[name] = literals[:16]
+                own.append(value)
         target = name_score(name)
-        for a, b in literals if target >= 0.5 else ():
-            score = target + literal_score(text[a:b])
-            if literal_score(text[a:b]) > 0.4 and score >= LEAST_SCORE:
-                found[a, b] = max(score, found.get((a, b), 0.0))
+        if target >= 0.5:
+            waiting = [own]
+            while waiting:
+                held = waiting.pop()
+                if reached.get(id(held), 0.0) >= target:
+                    continue  # all its literals have such a score already
+                reached[id(held)] = target
+                kept.append(held)
+                for value in held:
+                    if isinstance(value, list):
+                        waiting.append(value)
+                        continue
+                    random = literal_score(text[value[0] : value[1]])
+                    if random > 0.4 and target + random >= LEAST_SCORE:
+                        found[value] = max(target + random, found.get(value, 0.0))
+        constants[name] = own
     return [("named", a, b, s) for (a, b), s in found.items()]
 
 

@@ -82,3 +82,11 @@ def test_overlapping_spans_are_cut_once(texts):
 )
 def test_subscripts_and_annotations(text, found):
     assert [text[a:b] for kind, a, b, _ in secrets.spans_of(text) if kind == "named"] == found
+
+
+def test_all_literals_of_a_constant():
+    lines = [f"Zx8#kLm9Q{i}pT" for i in range(40)]
+    text = "\n".join(f'L{i} = "{line}"' for i, line in enumerate(lines)) + "\nPEM = " + " + ".join(f"L{i}" for i in range(40)) + "\nauth_key = PEM\n"
+    assert {text[a:b] for _, a, b, _ in secrets.spans_of(text)} == set(lines)
+    chain = 'a0 = "Zx8#kLm9Qp"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(300)) + "auth_key = a300\n"
+    assert [chain[a:b] for _, a, b, _ in secrets.spans_of(chain)] == ["Zx8#kLm9Qp"]
