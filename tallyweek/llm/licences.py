@@ -13,6 +13,7 @@ and null ids keep their rows; other columns are ignored; an empty table gives an
 from __future__ import annotations
 
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,8 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+#: The whole texts of common licences, beside the notices; names are those of the files.
+TEXTS = {f"{p.stem}-text": p.read_text() for p in sorted((Path(__file__).parent / "texts").glob("*.txt"))}
 THRESHOLD = 0.8
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -76,7 +79,7 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(found, found[1:])))
 
 
-def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES | TEXTS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, matches): for each document the distinct units like a template, as structs
     (unit, licence, dice) by unit; ``unit`` is the normalised text."""
     parts = {name: template_bigrams(text) for name, text in sorted(templates.items())}
@@ -90,7 +93,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: f
     # Each step binds what the next uses more than once.
     counted = F.transform(large, lambda u: F.struct(u.alias("unit"), bigrams(F.split(u, " ")).alias("own")))
     known = F.array(*[
-        F.struct(F.lit(-k).alias("place"), F.lit(name).alias("licence"), F.array(*map(F.lit, p)).alias("pairs"), F.lit(len(p)).alias("n"))
+        F.struct(F.lit(-k).alias("place"), F.lit(name).alias("licence"), F.split(F.lit("\n".join(p)), "\n").alias("pairs"), F.lit(len(p)).alias("n"))
         for k, (name, p) in enumerate(parts.items())
     ])
 

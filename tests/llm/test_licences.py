@@ -30,3 +30,11 @@ def test_units(texts):
         (1, (("MIT", 1.0),)), (2, ()), (3, ()), (None, (("MIT-grant", 1.0),)), (1, (("CC-BY-NC-4.0", 0.923),)), (4, ()), (5, ()), (6, ()),
     }
     assert licences.scan(texts([])).collect() == []
+
+
+def test_whole_licence_files(texts):
+    mit = licences.TEXTS["MIT-text"].replace("<year> <copyright holders>", "2021 Ada Lovelace and others")
+    rows = [(i, text) for i, text in enumerate([mit, *licences.TEXTS.values()])]
+    got = {r.id: {m.licence: m.dice for m in r.matches} for r in licences.scan(texts(rows)).collect()}
+    for i, name in enumerate(["MIT-text", *licences.TEXTS]):
+        assert got[i][name] > 0.95, name
