@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import crosspolytope, licences, packing, pieces, quality, repeats, secrets, simhash, sketches, warc
+from tallyweek.llm import crosspolytope, infill, licences, packing, pieces, quality, repeats, secrets, simhash, sketches, warc
 from tallyweek.llm.shared import landed, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,15 @@ def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = infill.fill_in_middle(_table(spark, folder, "documents"))
+    restored = infill.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 def _licence_sql() -> str:
     """Dice coefficients in SQL: a row per unit and template, without size bounds."""
     lists = ", ".join(
@@ -130,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece_codec": op9_sentencepiece_codec,
     "op10_licence_scan": op10_licence_scan,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
