@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import crosspolytope, infill, licences, packing, pieces, quality, repeats, secrets, simhash, sketches, warc
+from tallyweek.llm import crosspolytope, infill, licences, packing, personal, pieces, quality, repeats, secrets, simhash, sketches, warc
 from tallyweek.llm.shared import landed, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,16 @@ def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    rows = personal.find_personal(_table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    base = F.filter("spans", lambda s: s["kind"].isin(personal.BASE))
+    return rows.select(
+        F.col("id").alias("doc_id"), *(count(kind).alias(f"n_{kind}") for kind in personal.BASE),
+        F.sha2(personal.spans_text(base), 256).alias("base_sha256"), personal.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     rows = infill.fill_in_middle(_table(spark, folder, "documents"))
     restored = infill.restored(F.col("output"), F.col("form"))
@@ -139,6 +149,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece_codec": op9_sentencepiece_codec,
     "op10_licence_scan": op10_licence_scan,
+    "op11_personal_data": op11_personal_data,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -153,4 +164,20 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """,
     "op10_licence_scan": _licence_sql(),
+    "op13_fill_in_middle": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS hex,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units FROM documents),
+h AS (SELECT *, CAST(len(units) AS BIGINT) AS n, [CAST('0x' || substr(hex, 8 * k + 1, 8) AS BIGINT) FOR k IN range(4)] AS h FROM t),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+       WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+""",
 }
