@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweek.llm import crosspolytope, infill, licences, packing, personal, pieces, quality, repeats, secrets, simhash, sketches, warc
+from tallyweek.llm import crosspolytope, infill, licences, packing, periods, personal, pieces, quality, repeats, secrets, simhash, sketches, warc
 from tallyweek.llm.shared import landed, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +111,30 @@ def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The texts of op12: from place a on, every tenth document by its digest repeats p of its words.
+    Lists are cut and joined whole, so the words are found once a document, not once a word."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.regexp_extract_all(F.when(h % 10 == 0, F.col("text")), F.lit(r"[^\x20\x09-\x0D]+"), 0).alias("w"))
+    rows = rows.withColumns({"n": F.size("w"), "g": F.expr("h div 10")})
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.greatest("n", F.lit(1))).cast("int"))
+    rows = rows.withColumn("p", (1 + F.expr("(n - a) div (3 + g % 8)")).cast("int"))
+    unit = F.slice("w", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int"))), F.lit(1), F.col("n") - F.col("a"))
+    repeated = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = periods.periodic_runs(_with_periods(_table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return rows.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     rows = infill.fill_in_middle(_table(spark, folder, "documents"))
     restored = infill.restored(F.col("output"), F.col("form"))
@@ -150,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "op9_sentencepiece_codec": op9_sentencepiece_codec,
     "op10_licence_scan": op10_licence_scan,
     "op11_personal_data": op11_personal_data,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
