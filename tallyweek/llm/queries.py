@@ -55,6 +55,7 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 

@@ -264,9 +264,12 @@ def _counted_windows(compared: DataFrame, length: int) -> DataFrame:
     return kept.select("row", "s", (F.col("s") + 1).alias("e"))
 
 
-def _kept(rows: DataFrame, length: int, carried: Sequence[str]) -> DataFrame:
+def _kept(rows: DataFrame, length: int, least_words: int, carried: Sequence[str]) -> DataFrame:
     """The removed spans and the remaining bytes of each row (id, n_bytes, whole, text, ranges, *carried)."""
 
+    def long_enough(text: bytes, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        return np.array([len(text[a:b].split()) >= least_words for a, b in zip(s.tolist(), e.tolist())], bool)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, kept = [], []
@@ -274,6 +277,9 @@ def _kept(rows: DataFrame, length: int, carried: Sequence[str]) -> DataFrame:
                 s = np.array([0] if whole else [r["s"] for r in ranges or ()], np.int64)
                 e = np.array([n] if whole else [r["e"] + length - 1 for r in ranges or ()], np.int64)
                 s, e = merge_ranges(s, e)
+                if least_words and not whole and len(s):
+                    stays = long_enough(text, s, e)
+                    s, e = s[stays], e[stays]
                 spans.append((s, e))
                 kept.append(b"" if whole else b"".join(text[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), n])))
             more = [batch.column(batch.schema.get_field_index(c)) for c in carried]
@@ -286,11 +292,15 @@ def _kept(rows: DataFrame, length: int, carried: Sequence[str]) -> DataFrame:
     return rows.mapInArrow(run, ", ".join([*kinds[:2], f"spans {_RANGES_TYPE}", "kept binary", *kinds[2:]]))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, least_words: int = 0,
+    id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = (),
+) -> DataFrame:
     """Rows (id, n_bytes, spans, kept, *keep): per document the removed byte spans [s, e), the rest
     of its bytes, and further columns of the input.
 
-    A byte goes if a string of ``length`` bytes that covers it also starts anywhere else.
+    A byte goes if a string of ``length`` bytes that covers it also starts anywhere else; of these
+    spans, such as hold fewer than ``least_words`` words stay, unless the whole text is a copy.
     """
     carried = [F.col(c).alias(f"__{c}") for c in keep]
     rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), *carried)
@@ -325,4 +335,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     by_text = by_text.select("key", n.alias("n_bytes"), gone.alias("whole"), F.when(~gone, F.col("text")).alias("text"), "ranges")
     more = [f"__{c}" for c in keep]
     joined = rows.select("id", "key", *more).join(by_text, "key").select("id", "n_bytes", "whole", "text", "ranges", *more)
-    return _kept(joined, length, more).withColumnsRenamed(dict(zip(more, keep)))
+    return _kept(joined, length, least_words, more).withColumnsRenamed(dict(zip(more, keep)))

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = list(entry.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
 
 
 def test_whole_run(spark):
@@ -58,6 +58,28 @@ def test_passages_are_cut(spark, corpus):
     assert before[40].text.startswith(got[40].text) and len(before[40].text) - len(got[40].text) >= 400
 
 
+def test_short_passages(spark):
+    """55 words in under 400 bytes are a passage; 40 words in over 240 bytes are not."""
+    rnd = random.Random(3)
+    prose = lambda n, size: " ".join("".join(rnd.choice("abcdefgh") for _ in range(size)) for _ in range(n))
+    passage, line = prose(55, 5), prose(40, 7)
+    assert len(passage) < 400 and len(line) > 240
+    own = [prose(60, 5) for _ in range(6)]
+    texts = [f"{own[0]} {passage} {own[1]}", f"{own[2]}\n{passage}", f"{own[3]} {line}", f"{line} {own[4]}", own[5]]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, SF).collect()}
+    assert all(w not in got[i] for i in (0, 1) for w in passage.split()) and got[1].strip() == own[2]
+    assert [got[i] for i in (2, 3, 4)] == texts[2:]
+
+
+def test_packing_of_odd_rows(spark, corpus):
+    run = dict(corpus_pipeline.STAGES)["packing"]
+    got = run(spark, corpus, SF).groupBy("doc_id").agg({"piece": "count"}).collect()
+    counts = {r.doc_id: r["count(piece)"] for r in got}
+    assert set(counts) == {r.doc_id for r in corpus.collect()} and counts[30] == 2 and counts[50] == 1
+    assert run(spark, corpus.where("false"), SF).collect() == []
+
+
 def test_secrets_are_marked(spark, corpus):
     got = {r.doc_id: r for r in corpus_pipeline.no_secrets(spark, corpus, SF).collect()}
     assert got[52].text == '[SECRET]"' and got[52].n_chars == 9 and got[0].n_chars == 1
