@@ -17,6 +17,8 @@ from tallyweek.llm import packing, quality, repeats, secrets, simhash
 from tallyweek.llm.shared import landed, numbered
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Repeated passages: strings of so many bytes, found by so many of them, that hold so many words.
+PASSAGE_BYTES, PASSAGE_GRAM, PASSAGE_WORDS = 240, 32, 50
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -39,11 +41,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once are cut out; every document stays.
+    """Passages of 50 words and more that occur more than once are cut out; every document stays.
 
-    A cut inside a character leaves bytes that are no UTF-8; they become the replacement character."""
+    They are looked for as repeated strings of PASSAGE_BYTES, which 50 words hardly ever fall short
+    of. A cut inside a character leaves bytes that are no UTF-8; they become the replacement character."""
     rows = docs.select(*COLUMNS).withColumn("had_text", F.col("text").isNotNull())
-    kept = repeats.remove_repeats(rows, keep=["lang", "source", "n_chars", "had_text"]).withColumnRenamed("id", "doc_id")
+    more = ["lang", "source", "n_chars", "had_text"]
+    kept = repeats.remove_repeats(rows, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, least_words=PASSAGE_WORDS, keep=more)
+    kept = kept.withColumnRenamed("id", "doc_id")
     kept = kept.withColumn("text", F.when(F.col("had_text"), F.make_valid_utf8(F.col("kept").cast("string"))))
     changed = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", changed).select(*COLUMNS)
