@@ -8,8 +8,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from tallyweek.checks import distinct_players
-from tallyweek.reports import REPORTS, matrix_tables, read_weekly_report, run_report
+from tallyweek.reports import REPORTS, matrix_tables, publish_report, read_weekly_report
 from tallyweek.session import tune
+from tallyweek.sinks.publish import export_season_file
 from tallyweek.sources.landed import parse_seasons
 
 
@@ -20,6 +21,7 @@ def parser() -> argparse.ArgumentParser:
     parse.add_argument("-i", "--input", required=True, help="landed tables, or the written weekly report for matrix")
     parse.add_argument("-o", "--output", default="./reports")
     parse.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    parse.add_argument("--single-files", action="store_true", help="csv: also one file per season, for small seasons")
     parse.add_argument("--scoring", help="weights document for the opportunity report")
     parse.add_argument("--min-games", type=int, default=3, help="matrix: least number of games of a player")
     return parse
@@ -36,11 +38,21 @@ def main(argv: list[str] | None = None) -> int:
         print(f"{distinct_players(order)} players")
         return 0
     options = {"scoring": args.scoring} if args.report == "opportunity" else {}
-    rows = run_report(
+    run = publish_report(
         spark, args.report, args.input, parse_seasons(args.seasons), args.output, args.format, **options
     )
-    print("No report: a required table has no rows." if rows is None else f"{rows} rows written")
-    return 1 if rows is None else 0
+    if run is None:
+        print("No report: a required table has no rows.")
+        return 1
+    for stage, rows in run.stages.items():
+        print(f"{stage}: {rows} rows")
+    for season, rows in sorted(run.seasons.items(), key=str):
+        print(f"season {season}: {rows} rows published")
+    if args.single_files and args.format == "csv":
+        report = REPORTS[args.report]
+        for season in run.seasons:
+            print(export_season_file(spark, f"{args.output}/{report.name}", season, run.schema, report.sort))
+    return 0
 
 
 if __name__ == "__main__":

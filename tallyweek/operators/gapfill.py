@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweek.operators.counted import Counter, uncounted
 from tallyweek.operators.lookup import scalar_map
 
 
@@ -42,6 +43,7 @@ def gap_fill(
     season: str,
     period: str,
     fills: Mapping[str, object],
+    counted: Counter = uncounted,
 ) -> DataFrame:
     """The period grid with the observed measures; periods without an observation get ``fills``.
 
@@ -50,7 +52,7 @@ def gap_fill(
     join out of skew splitting, so the keys must name one entity of a season: a group then holds
     its weeks only, and no key can be hot.
     """
-    grid = period_grid(df, keys, labels, season, period).repartition(*keys)
+    grid = counted("grid rows", period_grid(df, keys, labels, season, period)).repartition(*keys)
     observed = df.select(*keys, period, *fills)
     filled = grid.join(observed, on=[*keys, period], how="left")
     return filled.withColumns({name: F.coalesce(F.col(name), F.lit(value)) for name, value in fills.items()})

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tallyweek.functions.aggregates import count_where, sum_where
 from tallyweek.functions.scalars import fallback_blank, or_zero, person_key, safe_div
 from tallyweek.operators.change import change
+from tallyweek.operators.counted import Counter, uncounted
 from tallyweek.operators.entities import bridge_id
 from tallyweek.operators.ranking import with_dense_rank
 from tallyweek.operators.schema import select_available
@@ -391,6 +392,7 @@ def scored_rows(
     plays: DataFrame,
     weights: Mapping[str, float] | None = None,
     opponents: bool = True,
+    counted: Counter = uncounted,
 ) -> DataFrame:
     """Snap rows with changes, play statistics, position and points, landed in the shared folder.
 
@@ -398,14 +400,15 @@ def scored_rows(
     From the repartition on, the change window and the statistics join work on (player_key,
     season); a player's weeks of a season are all that shares a key.
     """
-    base = with_player_ids(snaps, players)
+    base = counted("snap rows with ids", with_player_ids(snaps, players))
     if opponents:
-        base = fill_opponents(base, game_opponents(plays))
+        base = fill_opponents(base, counted("sides of games", game_opponents(plays)))
     base = snap_changes(base.repartition("player_key", "season"))
-    stats = player_game_stats(plays).withColumnRenamed("gsis_id", "player_key")
+    stats = counted("player games", player_game_stats(plays)).withColumnRenamed("gsis_id", "player_key")
     joined = base.join(stats, on=[*HISTORY, *HISTORY_ORDER], how="left")
     positions = players.select(F.col("gsis_id").alias("player_key"), "position")
-    return land(fantasy_points(joined.join(positions, on="player_key", how="left"), weights), "scored_rows")
+    scored = counted("scored rows", fantasy_points(joined.join(positions, on="player_key", how="left"), weights))
+    return land(scored, "scored_rows")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -425,12 +428,16 @@ def with_dimensions(
     tracking_receiving: DataFrame,
     tracking_rushing: DataFrame,
     combine: DataFrame,
+    counted: Counter = uncounted,
 ) -> DataFrame:
     """The scored rows with tracking measures, profile and combine results."""
     tables = tracking_tables(tracking_passing, tracking_receiving, tracking_rushing)
+    names = ("passing", "receiving", "rushing")
+    tables = [counted(f"tracking rows, {name}", table) for name, table in zip(names, tables, strict=True)]
     # Profile and combine meet as dimensions, so the wide rows join once.
-    profile = player_profile(players).drop("pfr_id", "position")
-    profile = profile.join(combine_by_player(combine, players), on="gsis_id", how="left")
+    profile = counted("player profiles", player_profile(players)).drop("pfr_id", "position")
+    measured = counted("combine rows of players", combine_by_player(combine, players))
+    profile = profile.join(measured, on="gsis_id", how="left")
     joined = join_tracking(rows, tables, "player_key")
     return joined.join(profile.withColumnRenamed("gsis_id", "player_key"), on="player_key", how="left")
 
@@ -444,8 +451,10 @@ def opportunity_report(
     tracking_rushing: DataFrame,
     combine: DataFrame,
     weights: Mapping[str, float] | None = None,
+    counted: Counter = uncounted,
 ) -> DataFrame:
-    """The report. Its scored rows are landed while it is built; the rank joins them while narrow."""
-    ranked = position_rank(scored_rows(snaps, players, plays, weights))
-    rows = with_dimensions(ranked, players, tracking_passing, tracking_receiving, tracking_rushing, combine)
+    """The report. Building it runs a job: the scored rows are landed; the rank joins them while narrow."""
+    ranked = position_rank(scored_rows(snaps, players, plays, weights, counted=counted))
+    tracked = (tracking_passing, tracking_receiving, tracking_rushing)
+    rows = with_dimensions(ranked, players, *tracked, combine, counted)
     return conform(rows, REPORT_SCHEMA)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyweek.functions.aggregates import avg_where, count_where, sum_or_zero
 from tallyweek.functions.scalars import clip, or_zero, person_key, safe_div
 from tallyweek.operators.change import change
+from tallyweek.operators.counted import Counter, uncounted
 from tallyweek.operators.schema import first_available
 from tallyweek.plans.team_games import team_game_ids, team_passing_totals
 
@@ -215,12 +216,12 @@ def with_changes(df: DataFrame) -> DataFrame:
     )
 
 
-def qb_report(player_stats: DataFrame, plays: DataFrame | None = None) -> DataFrame:
+def qb_report(player_stats: DataFrame, plays: DataFrame | None = None, counted: Counter = uncounted) -> DataFrame:
     """Without plays the game id is blank and the play metrics are NULL."""
-    rows = quarterbacks(player_stats).withColumn(
+    rows = counted("quarterback rows", quarterbacks(player_stats)).withColumn(
         "player_key", person_key(F.col("player"), ("id", F.col("pfr_player_id")))
     )
-    totals = team_passing_totals(player_stats)
+    totals = counted("team passing totals", team_passing_totals(player_stats))
     if plays is None:
         joined = rows.join(totals, on=TEAM_WEEK, how="left").withColumns(
             {"game_id": F.lit(""), **{name: F.lit(None).cast("double") for name in PLAY_METRICS}}
@@ -228,7 +229,7 @@ def qb_report(player_stats: DataFrame, plays: DataFrame | None = None) -> DataFr
     else:
         # The metrics join and the change window share one shuffle of the rows, and one sort.
         shared = ["player_key", "season"]
-        metrics = play_metrics(plays).withColumnRenamed("player_id", "player_key").repartition(*shared)
+        metrics = counted("play metrics", play_metrics(plays)).withColumnRenamed("player_id", "player_key").repartition(*shared)
         joined = (
             rows.join(team_game_ids(plays), on=TEAM_WEEK, how="left")
             .join(totals, on=TEAM_WEEK, how="left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyweek.functions.scalars import person_key, safe_div
 from tallyweek.operators.change import change
+from tallyweek.operators.counted import Counter, uncounted
 from tallyweek.operators.schema import first_available
 from tallyweek.plans.team_games import team_games_with_dropbacks
 
@@ -47,10 +48,12 @@ def receivers(player_stats: DataFrame) -> DataFrame:
     )
 
 
-def receiving_report(player_stats: DataFrame, team_stats: DataFrame, plays: DataFrame) -> DataFrame:
+def receiving_report(
+    player_stats: DataFrame, team_stats: DataFrame, plays: DataFrame, counted: Counter = uncounted
+) -> DataFrame:
     team_attempts = team_stats.select(*TEAM_WEEK, F.col("attempts").alias("team_pass_attempts"))
     joined = (
-        receivers(player_stats)
+        counted("rows with targets", receivers(player_stats))
         .join(team_games_with_dropbacks(plays), on=TEAM_WEEK, how="left")
         .join(team_attempts, on=TEAM_WEEK, how="left")
         .withColumns(

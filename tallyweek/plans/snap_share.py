@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyweek.functions.scalars import person_key
 from tallyweek.operators.change import change
+from tallyweek.operators.counted import Counter, uncounted
 from tallyweek.operators.gapfill import gap_fill, period_grid
 
 # People without an id are told apart by name, in matching and in history alike, so no key holds
@@ -63,8 +64,8 @@ def snap_grid(snaps: DataFrame) -> DataFrame:
     return grid.select("season", "week", "pfr_player_id", "team", "player", "position")
 
 
-def snap_share_report(snaps: DataFrame) -> DataFrame:
-    filled = gap_fill(_keyed(snaps), KEYS, ["pfr_player_id", *LABELS], "season", "week", GAP_VALUES)
+def snap_share_report(snaps: DataFrame, counted: Counter = uncounted) -> DataFrame:
+    filled = gap_fill(_keyed(snaps), KEYS, ["pfr_player_id", *LABELS], "season", "week", GAP_VALUES, counted)
     # Two spellings of one id give two rows a week; the labels make their order repeatable.
     changed = change(filled, KEYS, ["week", *LABELS], SHARE_CHANGES)
     # A missing name or position is the first known one of the player's weeks in the team.
