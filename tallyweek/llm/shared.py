@@ -11,10 +11,17 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset, one inside the warehouse,
-    which driver and executors share as well."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one inside the warehouse. A
+    warehouse on the driver's own disk is an error, unless Spark runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/llm-checkpoints"
+    if folder:
+        return folder
+    warehouse, master = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+    path = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    is_local = path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+    if is_local and master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/llm-checkpoints"
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
