@@ -458,6 +458,7 @@ scored AS (SELECT s.season, s.week, p.position, s.player_key, s.team, s.offense_
         "FROM (SELECT *, dense_rank() OVER (PARTITION BY season, week, position ORDER BY fantasy_points DESC) AS rnk FROM scored) r",
     ),
     "opportunity_report": _sql(OPPORTUNITY_TABLES, OPPORTUNITY, "SELECT * EXCLUDE (rnk) FROM report"),
+    "opportunity_from_facts": _sql(OPPORTUNITY_TABLES, OPPORTUNITY, "SELECT * EXCLUDE (rnk) FROM report"),
     "skill_regulars": _sql(OPPORTUNITY_TABLES, REGULARS, "SELECT * FROM regulars"),
     "player_order": _sql(
         OPPORTUNITY_TABLES, PLAYER_ORDER, "SELECT *, player_name AS composite_label FROM ordered"

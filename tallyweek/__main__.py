@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from tallyweek.checks import distinct_players
-from tallyweek.reports import REPORTS, matrix_tables, publish_report, read_weekly_report
+from tallyweek.reports import REPORTS, land_facts, matrix_tables, publish_report, read_weekly_report
 from tallyweek.session import tune
 from tallyweek.sinks.publish import export_season_file
 from tallyweek.sources.landed import parse_seasons
@@ -16,13 +16,14 @@ from tallyweek.sources.landed import parse_seasons
 
 def parser() -> argparse.ArgumentParser:
     parse = argparse.ArgumentParser(prog="tallyweek", description="Weekly player reports")
-    parse.add_argument("report", choices=[*REPORTS, "matrix"])
+    parse.add_argument("report", choices=[*REPORTS, "matrix", "facts"])
     parse.add_argument("seasons", nargs="?", default="2024", help="all, a year, or comma-separated years")
     parse.add_argument("-i", "--input", required=True, help="landed tables, or the written weekly report for matrix")
     parse.add_argument("-o", "--output", default="./reports")
     parse.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parse.add_argument("--single-files", action="store_true", help="csv: also one file per season, for small seasons")
     parse.add_argument("--scoring", help="weights document for the opportunity report")
+    parse.add_argument("--facts", help="opportunity: a folder that the facts command wrote")
     parse.add_argument("--min-games", type=int, default=3, help="matrix: least number of games of a player")
     return parse
 
@@ -37,7 +38,9 @@ def main(argv: list[str] | None = None) -> int:
         order = spark.read.parquet(f"{args.output}/player_order")
         print(f"{distinct_players(order)} players")
         return 0
-    options = {"scoring": args.scoring} if args.report == "opportunity" else {}
+    if args.report == "facts":
+        return 0 if land_facts(spark, args.input, args.output) else 1
+    options = {"scoring": args.scoring, "facts": args.facts} if args.report == "opportunity" else {}
     run = publish_report(
         spark, args.report, args.input, parse_seasons(args.seasons), args.output, args.format, **options
     )

@@ -8,14 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bridge_id(df: DataFrame, players: DataFrame, left: str, right: str, how: str = "left") -> DataFrame:
+def bridge_id(
+    df: DataFrame, players: DataFrame, left: str, right: str, how: str = "left", apart: Sequence[str] = ()
+) -> DataFrame:
     """Attach the players' columns through one of their ids; the right id column is dropped.
 
     No broadcast hint: Spark broadcasts the dimension when its size, estimated or measured at
     run time, is below the threshold, and otherwise joins by sort-merge with skew splitting.
+
+    Rows without an id match nobody, but a sort-merge join would send all of them to one task.
+    With ``apart`` they are spread by a digest of these columns, under keys that no id can have.
     """
     renamed = players.withColumnRenamed(right, "__bridge")
-    return df.join(renamed, df[left] == renamed["__bridge"], how).drop("__bridge")
+    key = F.col(left)
+    if apart:
+        key = F.coalesce(key, F.concat(F.lit("\u0000"), F.xxhash64(*apart).cast("string")))
+    joined = df.withColumn("__key", key).join(renamed, F.col("__key") == F.col("__bridge"), how)
+    return joined.drop("__bridge", "__key")
 
 
 def min_appearances(df: DataFrame, keys: Sequence[str], counted: str, at_least: int) -> DataFrame:

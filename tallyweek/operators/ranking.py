@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweek.sinks.landing import land
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join on keys where NULL equals NULL; the right copies of the keys are dropped."""
@@ -64,6 +66,29 @@ def rows_before(
     )
 
 
+def places_in_order(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], outs: Mapping[str, Column], name: str
+) -> DataFrame:
+    """``rows_before`` over one global sort: ``{name: summed weight of the rows before a row in its group}``.
+
+    The rows are sorted once by range and landed with the number of their partition, which fixes the
+    cut for good. Sums inside a partition, and the sums of the partitions before it, are all that
+    is left to add; no task holds more than a partition, whatever the size of a group. Landing runs
+    a job when this is called.
+    """
+    weighted = df.withColumns({f"__{o}": c for o, c in outs.items()})
+    ordered = weighted.orderBy(*[F.asc_nulls_first(g) for g in group], *order)
+    landed = land(ordered.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}), name)
+    inside = Window.partitionBy(*group, "__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = landed.groupBy(*group, "__part").agg(*[F.sum(f"__{o}").alias(o) for o in outs])
+    starts = parts.select(*group, "__part", *[F.coalesce(F.sum(o).over(earlier), F.lit(0)).alias(f"__start_{o}") for o in outs])
+    rows = landed.withColumns({o: F.coalesce(F.sum(f"__{o}").over(inside), F.lit(0)) for o in outs})
+    joined = null_safe_join(rows, starts, [*group, "__part"], "inner")
+    placed = joined.withColumns({o: F.col(o) + F.col(f"__start_{o}") for o in outs})
+    return placed.drop("__part", "__at", *[f"__{o}" for o in outs], *[f"__start_{o}" for o in outs])
+
+
 def dense_ranks(values: DataFrame, group: Sequence[str], value: str, out: str, block_width: float | None = None) -> DataFrame:
     """Dense rank, highest value first, of each distinct (group, value); NULL values have no rank.
 

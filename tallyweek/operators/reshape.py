@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,21 @@ def pivot_period(df: DataFrame, rows: Sequence[str], period: str, periods: Seque
     """Periods become columns ``week_<n>``; a missing cell is NULL."""
     wide = df.groupBy(*rows).pivot(period, list(periods)).agg(F.first(value))
     return wide.withColumnsRenamed({str(p): f"week_{p}" for p in periods})
+
+
+def stacked_pivot(
+    cells: DataFrame, rows: Sequence[str], period: str, periods: Sequence[int], measures: Sequence[str]
+) -> DataFrame:
+    """A row per measure and entity with a column ``week_<n>`` per period; a missing cell is NULL.
+
+    ``cells`` has one row per entity and period. An entity's periods meet in one map, once for all
+    measures, so cells move once and not once per measure."""
+    cell = F.when(F.col(period).isNotNull(), F.struct(period, F.struct(*measures)))
+    wide = cells.groupBy(*rows).agg(F.map_from_entries(F.collect_list(cell)).alias("__cells"))
+
+    def line(measure: str) -> Column:
+        values = [F.try_element_at("__cells", F.lit(p))[measure].alias(f"week_{p}") for p in periods]
+        return F.struct(F.lit(measure).alias("measure"), *values)
+
+    stacked = wide.select(*rows, F.explode(F.array(*map(line, measures))).alias("__line"))
+    return stacked.select(*rows, "__line.*")

@@ -1,18 +1,24 @@
 """Player-by-week matrices of the weekly report: rows, cells, intensities, labels, boundaries.
 
-There is one matrix per season, so the season leads every key.
+There is one matrix per season, so the season leads every key. ``Matrix`` holds what the results
+share, each landed once: the regulars' rows, with the weeks they played, which are taken while
+writing; the order of the matrix rows; and the expanded cells. The functions below it only plan.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.functions.scalars import clip, one_decimal_text, percent_text, position_order, whole_text
 from tallyweek.operators.entities import min_appearances
 from tallyweek.operators.lookup import scalar_map
-from tallyweek.operators.ranking import null_safe_join, rows_before
-from tallyweek.operators.reshape import first_cells, periods_of, pivot_period
+from tallyweek.operators.ranking import null_safe_join, places_in_order
+from tallyweek.operators.reshape import first_cells, stacked_pivot
+from tallyweek.sinks.landing import land, land_observed
 
 SKILL_POSITIONS = ["QB", "WR", "RB", "TE"]
 INPUT_COLUMNS = [
@@ -68,10 +74,20 @@ HIGH_ABOVE = {
 }
 
 
+def skilled_rows(report: DataFrame) -> DataFrame:
+    """Skill-position rows with a snap share."""
+    rows = report.where(F.col("position").isin(SKILL_POSITIONS) & F.col(SNAP_SHARE).isNotNull())
+    return rows.select(*INPUT_COLUMNS)
+
+
+def regulars_of(rows: DataFrame, min_games: int = 3) -> DataFrame:
+    """Rows of names that appear at least ``min_games`` times in a season."""
+    return min_appearances(rows, ["season", "player_name"], "week", min_games)
+
+
 def skill_regulars(report: DataFrame, min_games: int = 3) -> DataFrame:
     """Skill-position rows with a snap share, of names that appear at least ``min_games`` times."""
-    rows = report.where(F.col("position").isin(SKILL_POSITIONS) & F.col(SNAP_SHARE).isNotNull())
-    return min_appearances(rows.select(*INPUT_COLUMNS), ["season", "player_name"], "week", min_games)
+    return regulars_of(skilled_rows(report), min_games)
 
 
 def _metric_rows_of() -> Column:
@@ -83,7 +99,7 @@ def _metric_rows_of() -> Column:
 
 
 def player_order(regulars: DataFrame) -> DataFrame:
-    """Matrix rows: one per name, ordered by team, position and mean share.
+    """Matrix rows: one per name, ordered by team, position and mean share; landed when called.
 
     A name's team and position are those of its first row by week, team and position.
     ``row_index`` counts player rows, ``expanded_index`` also the metric rows between them.
@@ -92,21 +108,16 @@ def player_order(regulars: DataFrame) -> DataFrame:
         F.struct(position_order(F.col("position")).alias("pos_order"), "team", "position"),
         F.struct("week", "team", "position"),
     )
-    # A sum of decimals is the same in any order, so blocks cut by the mean are repeatable.
+    # A sum of decimals is the same in any order, so the order by the mean is repeatable.
     mean = F.sum(F.col(SNAP_SHARE).cast("decimal(18,12)")).cast("double") / F.count(SNAP_SHARE)
     players = (
         regulars.groupBy("season", "player_name")
         .agg(mean.alias("avg_snap"), first.alias("first"))
         .select("season", "player_name", "avg_snap", "first.*")
     )
-    blocks = [
-        ("team", F.col("team")),
-        ("pos_order", F.col("pos_order")),
-        ("__share", -F.floor(F.col("avg_snap") * 100)),
-    ]
-    order = [F.desc("avg_snap"), F.asc("player_name")]
+    order = [F.asc_nulls_first("team"), F.asc_nulls_first("pos_order"), F.desc("avg_snap"), F.asc("player_name")]
     sizes = {"row_index": F.lit(1), "expanded_index": 1 + _metric_rows_of()}
-    return rows_before(players, ["season"], blocks, order, sizes).select(
+    return places_in_order(players, ["season"], order, sizes, "player_order").select(
         "season",
         F.col("player_name").alias("composite_label"),
         "player_name",
@@ -119,13 +130,12 @@ def player_order(regulars: DataFrame) -> DataFrame:
     )
 
 
-def matrix_cells(regulars: DataFrame, order: DataFrame | None = None) -> DataFrame:
+def matrix_cells(regulars: DataFrame, order: DataFrame) -> DataFrame:
     """First row's measures per season, name and week, kept only for the name's position."""
     measures = list(MEASURE_POSITIONS)
     # All measures take part in the order, so equal leading values leave no choice.
     cells = first_cells(regulars, ["season", "player_name", "week"], ["team", "position", *measures], measures)
-    rows = player_order(regulars) if order is None else order
-    joined = cells.join(rows, on=["season", "player_name"], how="inner")
+    joined = cells.join(order, on=["season", "player_name"], how="inner")
 
     def kept(measure: str) -> Column:
         value = F.col(measure)
@@ -134,29 +144,15 @@ def matrix_cells(regulars: DataFrame, order: DataFrame | None = None) -> DataFra
     return joined.withColumns({m: kept(m) for m in measures})
 
 
-def name_positions(regulars: DataFrame) -> DataFrame:
-    """The position of each name: that of its first row by week, team and position."""
-    first = F.min_by("position", F.struct("week", "team", "position"))
-    return regulars.groupBy("season", "player_name").agg(first.alias("position"))
+def snap_matrix(regulars: DataFrame, order: DataFrame, weeks: Sequence[int]) -> DataFrame:
+    """The measures' matrices stacked: a row per measure and name, a column per week."""
+    rows = ["season", "row_index", "player_name", "team", "position"]
+    stacked = stacked_pivot(matrix_cells(regulars, order), rows, "week", weeks, list(MEASURE_POSITIONS))
+    names = ["season", "measure", "row_index", "player_name", "team", "position"]
+    return stacked.select(*names, *[f"week_{w}" for w in weeks])
 
 
-def snap_matrix(regulars: DataFrame, weeks: list[int] | None = None) -> DataFrame:
-    """The measures' matrices stacked: a row per measure and name, a column per week.
-
-    Without ``weeks`` the rows are read once more for the weeks that occur."""
-    weeks = periods_of(regulars, "week") if weeks is None else weeks
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURE_POSITIONS])
-    )
-    cells = matrix_cells(regulars).select(
-        "season", "row_index", "player_name", "team", "position", "week", pairs.alias("cell")
-    )
-    long = cells.select("season", "row_index", "player_name", "team", "position", "week", "cell.*")
-    rows = ["season", "measure", "row_index", "player_name", "team", "position"]
-    return pivot_period(long, rows, "week", weeks, "value")
-
-
-def metric_rows(regulars: DataFrame) -> DataFrame:
+def metric_rows(regulars: DataFrame, order: DataFrame) -> DataFrame:
     """The expanded matrix, long: a snap-share row per name followed by its position's metrics."""
 
     def entry(place: int, metric: str, label: Column, key: Column, share: Column) -> Column:
@@ -183,7 +179,7 @@ def metric_rows(regulars: DataFrame) -> DataFrame:
     expanded = entries([])
     for position, metrics in METRIC_ROWS.items():
         expanded = F.when(F.col("position") == position, entries(metrics)).otherwise(expanded)
-    cells = matrix_cells(regulars).withColumn("row", F.explode(expanded))
+    cells = matrix_cells(regulars, order).withColumn("row", F.explode(expanded))
     return cells.select(
         "season",
         (F.col("expanded_index") + F.col("row.place")).alias("row_index"),
@@ -200,17 +196,14 @@ def metric_rows(regulars: DataFrame) -> DataFrame:
     )
 
 
-def cell_intensity(regulars: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+def cell_intensity(rows: DataFrame) -> DataFrame:
     """Colour intensity per cell: share of the season's maximum, or the metric's fixed range.
 
-    The maxima come from the cells and the names' positions alone; row places play no part."""
-    rows = metric_rows(regulars) if rows is None else rows
+    ``rows`` are metric rows, which hold every cell of the scaled metrics once; they are read twice,
+    so they should come from a landed table."""
     scale_key = F.concat_ws("|", "season", "metric")
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in DEFAULT_MAXIMUM])
-    cells = matrix_cells(regulars, name_positions(regulars)).where(F.col("season").isNotNull())
     maxima = (
-        cells.select("season", F.explode(pairs).alias("cell"))
-        .select("season", "cell.*")
+        rows.where(F.col("season").isNotNull() & F.col("metric").isin(list(DEFAULT_MAXIMUM)))
         .groupBy(scale_key.alias("scale_key"))
         .agg(F.max("value").alias("maximum"))
     )
@@ -233,6 +226,49 @@ def cell_intensity(regulars: DataFrame, rows: DataFrame | None = None) -> DataFr
     )
 
 
+class Matrix:
+    """The parts of a season's heat map over the weekly rows of a report.
+
+    Each part is landed when it is first asked for, and read by all results that need it."""
+
+    def __init__(self, report: DataFrame, min_games: int = 3, reread: bool = True):
+        """``reread``: whether the report is cheap to read twice, as written files are."""
+        rows = skilled_rows(report)
+        self._rows, self._least = rows if reread else land(rows, "weekly_rows"), min_games
+
+    @cached_property
+    def _landed(self) -> tuple[DataFrame, dict]:
+        return land_observed(regulars_of(self._rows, self._least), "regulars", weeks=F.collect_set("week"))
+
+    @property
+    def regulars(self) -> DataFrame:
+        return self._landed[0]
+
+    @property
+    def weeks(self) -> list[int]:
+        return sorted(self._landed[1]["weeks"])
+
+    @cached_property
+    def order(self) -> DataFrame:
+        return player_order(self.regulars)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return land(metric_rows(self.regulars, self.order), "metric_rows")
+
+    def snap_matrix(self) -> DataFrame:
+        return snap_matrix(self.regulars, self.order, self.weeks)
+
+    def cell_intensity(self) -> DataFrame:
+        return cell_intensity(self.rows)
+
+    def cell_labels(self, threshold: float = 0.5) -> DataFrame:
+        return cell_labels(self.rows, threshold)
+
+    def group_boundaries(self) -> DataFrame:
+        return group_boundaries(self.order)
+
+
 def cell_labels(rows: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Text and highlight flag of every cell that has a value."""
     metric, value = F.col("metric"), F.col("value")

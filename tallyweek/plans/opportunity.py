@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -193,7 +193,7 @@ def with_player_ids(snaps: DataFrame, players: DataFrame) -> DataFrame:
     Rows without a mapped id are keyed by their own id or name, so they neither mix different
     people in one change history nor pile up in one partition of the joins that follow.
     """
-    mapped = bridge_id(snaps, players.select("gsis_id", "pfr_id"), "pfr_player_id", "pfr_id")
+    mapped = bridge_id(snaps, players.select("gsis_id", "pfr_id"), "pfr_player_id", "pfr_id", apart=["game_id", "player"])
     key = person_key(F.col("player"), ("gsis", F.col("gsis_id")), ("pfr", F.col("pfr_player_id")))
     return mapped.withColumn("player_key", key)
 
@@ -403,12 +403,19 @@ def scored_rows(
     base = counted("snap rows with ids", with_player_ids(snaps, players))
     if opponents:
         base = fill_opponents(base, counted("sides of games", game_opponents(plays)))
-    base = snap_changes(base.repartition("player_key", "season"))
     stats = counted("player games", player_game_stats(plays)).withColumnRenamed("gsis_id", "player_key")
-    joined = base.join(stats, on=[*HISTORY, *HISTORY_ORDER], how="left")
+    scored = scored_from_facts(base.repartition("player_key", "season"), stats, players, weights)
+    return land(counted("scored rows", scored), "scored_rows")
+
+
+def scored_from_facts(
+    snaps: DataFrame, stats: DataFrame, players: DataFrame, weights: Mapping[str, float] | None = None
+) -> DataFrame:
+    """Changes, statistics, position and points of keyed snap rows. Facts that lie in buckets by
+    player and season stay where they are."""
+    joined = snap_changes(snaps).join(stats, on=[*HISTORY, *HISTORY_ORDER], how="left")
     positions = players.select(F.col("gsis_id").alias("player_key"), "position")
-    scored = counted("scored rows", fantasy_points(joined.join(positions, on="player_key", how="left"), weights))
-    return land(scored, "scored_rows")
+    return fantasy_points(joined.join(positions, on="player_key", how="left"), weights)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -434,12 +441,52 @@ def with_dimensions(
     tables = tracking_tables(tracking_passing, tracking_receiving, tracking_rushing)
     names = ("passing", "receiving", "rushing")
     tables = [counted(f"tracking rows, {name}", table) for name, table in zip(names, tables, strict=True)]
-    # Profile and combine meet as dimensions, so the wide rows join once.
+    return join_dimensions(join_tracking(rows, tables, "player_key"), players, combine, counted)
+
+
+def join_dimensions(
+    rows: DataFrame, players: DataFrame, combine: DataFrame, counted: Counter = uncounted
+) -> DataFrame:
+    """Profile and combine results. They meet as dimensions, so the wide rows join once."""
     profile = counted("player profiles", player_profile(players)).drop("pfr_id", "position")
     measured = counted("combine rows of players", combine_by_player(combine, players))
     profile = profile.join(measured, on="gsis_id", how="left")
-    joined = join_tracking(rows, tables, "player_key")
-    return joined.join(profile.withColumnRenamed("gsis_id", "player_key"), on="player_key", how="left")
+    return rows.join(profile.withColumnRenamed("gsis_id", "player_key"), on="player_key", how="left")
+
+
+def report_from_facts(
+    snaps: DataFrame,
+    stats: DataFrame,
+    tracking_keyed: Sequence[DataFrame],
+    players: DataFrame,
+    combine: DataFrame,
+    weights: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """The report from landed facts: keyed snap rows with opponents, statistics per player and game,
+    and the three tracking tables under the player's key. Its scored rows, which hold all measures
+    by then, are landed while it is built; only the rank moves rows."""
+    scored = join_tracking(scored_from_facts(snaps, stats, players, weights), list(tracking_keyed), "player_key")
+    ranked = position_rank(land(scored, "scored_rows"))
+    return conform(join_dimensions(ranked, players, combine), REPORT_SCHEMA)
+
+
+def matrix_input(
+    snaps: DataFrame, players: DataFrame, plays: DataFrame, tracking_passing: DataFrame, tracking_receiving: DataFrame
+) -> DataFrame:
+    """The weekly report's rows with the few columns the matrices need, and nothing else derived:
+    no opponents, changes, points, ranks or combine results."""
+    keys = [*HISTORY, *HISTORY_ORDER]
+    base = with_player_ids(snaps, players).select(*keys, F.col("offense_pct").alias("offense_snap_share"))
+    stats = player_game_stats(plays).withColumnRenamed("gsis_id", "player_key")
+    stats = stats.select(*keys, "targets", "rush_first_downs", "receiving_first_downs")
+    names = player_profile(players).select(F.col("gsis_id").alias("player_key"), "player_name", "position")
+    rows = base.repartition("player_key", "season").join(stats, on=keys, how="left").join(names, on="player_key", how="left")
+    passing, receiving, _ = tracking_tables(tracking_passing, tracking_receiving, tracking_receiving)
+    measures = [
+        passing.select("gsis_id", "season", "week", "completion_percentage"),
+        receiving.select("gsis_id", "season", "week", "percent_share_of_intended_air_yards", "avg_yac"),
+    ]
+    return join_tracking(rows, measures, "player_key")
 
 
 def opportunity_report(

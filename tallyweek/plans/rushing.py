@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,22 +13,33 @@ from tallyweek.operators.entities import bridge_id
 from tallyweek.operators.ranking import with_dense_rank
 
 
-def runs_with_players(plays: DataFrame, players: DataFrame) -> DataFrame:
-    names = players.select("gsis_id", F.col("display_name").alias("name"), "position")
-    return bridge_id(plays.where(F.col("play_type") == "run"), names, "rusher_player_id", "gsis_id")
+def with_names(totals: DataFrame, players: DataFrame, sums: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Name and position of each rusher, joined to totals instead of plays.
+
+    An id that is listed more than once under one name and position counts as often, as it would
+    if every play were joined first; under several names it gives a row for each."""
+    names = players.where(F.col("gsis_id").isNotNull()).groupBy("gsis_id", F.col("display_name").alias("name"), "position")
+    joined = bridge_id(totals, names.agg(F.count("*").alias("__copies")), "rusher_player_id", "gsis_id")
+    copies = F.coalesce("__copies", F.lit(1))
+    return joined.withColumns({c: F.col(c) * copies for c in sums}).select("rusher_player_id", "name", "position", *keys, *sums)
+
+
+def runs(plays: DataFrame) -> DataFrame:
+    return plays.where(F.col("play_type") == "run")
 
 
 def rushing_totals(plays: DataFrame, players: DataFrame) -> DataFrame:
-    totals = (
-        runs_with_players(plays, players)
-        .groupBy("rusher_player_id", "name", "position")
+    per_rusher = (
+        runs(plays)
+        .groupBy("rusher_player_id")
         .agg(
             sum_or_zero("rushing_yards").alias("rushing_yards"),
             F.count("rush_attempt").alias("rush_attempt"),
-            F.countDistinct("game_id").alias("games_played"),
             sum_or_zero("rush_touchdown").alias("tds"),
+            F.countDistinct("game_id").alias("games_played"),
         )
     )
+    totals = with_names(per_rusher, players, ["rushing_yards", "rush_attempt", "tds"], ["games_played"])
     return totals.withColumns(
         {
             "ypa": F.try_divide("rushing_yards", "rush_attempt"),
@@ -64,8 +77,9 @@ def rushing_ranks(plays: DataFrame, players: DataFrame) -> DataFrame:
 
 def rushing_by_week(plays: DataFrame, players: DataFrame) -> DataFrame:
     """Attempts and yards per rusher and week, the week taken from the game id."""
-    return (
-        runs_with_players(plays, players)
-        .groupBy("rusher_player_id", "name", "position", week_of_game(F.col("game_id")).alias("week"))
+    per_week = (
+        runs(plays)
+        .groupBy("rusher_player_id", week_of_game(F.col("game_id")).alias("week"))
         .agg(F.count("*").alias("attempts"), sum_or_zero("rushing_yards").alias("rushing_yards"))
     )
+    return with_names(per_week, players, ["attempts", "rushing_yards"], ["week"])

@@ -65,12 +65,11 @@ def snap_grid(snaps: DataFrame) -> DataFrame:
 
 
 def snap_share_report(snaps: DataFrame, counted: Counter = uncounted) -> DataFrame:
-    filled = gap_fill(_keyed(snaps), KEYS, ["pfr_player_id", *LABELS], "season", "week", GAP_VALUES, counted)
+    filled = gap_fill(_keyed(snaps), KEYS, ["pfr_player_id", *LABELS], "season", "week", GAP_VALUES, counted, LABELS)
     # Two spellings of one id give two rows a week; the labels make their order repeatable.
     changed = change(filled, KEYS, ["week", *LABELS], SHARE_CHANGES)
     # A missing name or position is the first known one of the player's weeks in the team.
-    weeks = Window.partitionBy(*KEYS).orderBy("week", *LABELS).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    known = {label: F.coalesce(F.col(label), F.first(label, ignorenulls=True).over(weeks)) for label in LABELS}
+    known = {label: F.col(f"known_{label}") for label in LABELS}
     return changed.withColumns(known).select([F.col(source).alias(name) for name, source in REPORT_COLUMNS])
 
 

@@ -12,7 +12,7 @@ from tallyweek.checks import REPORT_KEY, assert_unique
 from tallyweek.operators.counted import Counter, StageCounts, uncounted
 from tallyweek.operators.schema import optional
 from tallyweek.plans import matrix, opportunity, quarterback, receiving, snap_share
-from tallyweek.sinks.landing import land
+from tallyweek.sinks.facts import Facts
 from tallyweek.sinks.publish import publish
 from tallyweek.sources.landed import Seasons, no_rows, read_csv, read_optional, read_required, season_filter, wanted_seasons
 from tallyweek.sources.schemas import LANDED
@@ -44,10 +44,18 @@ def quarterback_from(
 
 
 def opportunity_from(
-    spark: SparkSession, root: str, seasons: Seasons = True, counted: Counter = uncounted, scoring: str | None = None
+    spark: SparkSession,
+    root: str,
+    seasons: Seasons = True,
+    counted: Counter = uncounted,
+    scoring: str | None = None,
+    facts: str | None = None,
 ) -> DataFrame | None:
-    """Plays, tracking and combine are optional; ``scoring`` is the path of a weights document."""
+    """Plays, tracking and combine are optional; ``scoring`` is the path of a weights document, and
+    ``facts`` a folder of ``land_facts``, which then takes the place of all tables but the dimensions."""
     players = read_required(spark, root, "players")
+    if facts and players is not None:
+        return _opportunity_from_facts(spark, root, seasons, players, scoring, facts)
     snaps = read_required(spark, root, "snap_counts", seasons)
     if players is None or snaps is None:
         return None
@@ -57,6 +65,29 @@ def opportunity_from(
     return opportunity.opportunity_report(snaps, players, *extras, weights=weights, counted=counted)
 
 
+def _opportunity_from_facts(
+    spark: SparkSession, root: str, seasons: Seasons, players: DataFrame, scoring: str | None, folder: str
+) -> DataFrame | None:
+    facts = Facts.read(spark, folder)
+    snaps, stats, *tracking = [season_filter(df, seasons) for df in (facts.snaps, facts.stats, *facts.tracking)]
+    if snaps.isEmpty():
+        return None
+    combine = optional(read_optional(spark, root, "combine"), LANDED["combine"], spark)
+    weights = column_weights(points_from(read_scoring(spark, scoring)) if scoring else None)
+    return opportunity.report_from_facts(snaps, stats, tracking, players, combine, weights)
+
+
+def land_facts(spark: SparkSession, root: str, folder: str) -> bool:
+    """Land the opportunity report's facts of all seasons in buckets; false where a required table
+    has no rows."""
+    players, snaps = read_required(spark, root, "players"), read_required(spark, root, "snap_counts")
+    if players is None or snaps is None:
+        return False
+    names = ("plays", "tracking_passing", "tracking_receiving", "tracking_rushing")
+    Facts.land(folder, snaps, players, *[optional(read_optional(spark, root, t), LANDED[t], spark) for t in names])
+    return True
+
+
 @dataclass(frozen=True)
 class Report:
     """How a report is built, how its files are named and sorted, and what is unique in it.
@@ -130,17 +161,13 @@ def read_weekly_report(spark: SparkSession, path: str, fmt: str = "csv") -> Data
 
 
 def matrix_tables(report: DataFrame, min_games: int = 3, threshold: float = 0.5) -> dict[str, DataFrame]:
-    """Everything a heat map is drawn from: the matrices, and cells, colours, texts and lines.
-
-    The regulars, which all of them share, are landed once."""
-    regulars = land(matrix.skill_regulars(report, min_games), "regulars")
-    rows = matrix.metric_rows(regulars)
-    order = matrix.player_order(regulars)
+    """Everything a heat map is drawn from: the matrices, and cells, colours, texts and lines."""
+    parts = matrix.Matrix(report, min_games)
     return {
-        "player_order": order,
-        "snap_matrix": matrix.snap_matrix(regulars),
-        "metric_rows": rows,
-        "cell_intensity": matrix.cell_intensity(regulars, rows),
-        "cell_labels": matrix.cell_labels(rows, threshold),
-        "group_boundaries": matrix.group_boundaries(order),
+        "player_order": parts.order,
+        "snap_matrix": parts.snap_matrix(),
+        "metric_rows": parts.rows,
+        "cell_intensity": parts.cell_intensity(),
+        "cell_labels": parts.cell_labels(threshold),
+        "group_boundaries": parts.group_boundaries(),
     }

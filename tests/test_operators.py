@@ -6,8 +6,8 @@ from pyspark.sql import types as T
 
 from tallyweek.operators.change import change
 from tallyweek.operators.entities import bridge_id, min_appearances, two_sided
-from tallyweek.operators.ranking import rows_before, with_dense_rank
-from tallyweek.operators.reshape import first_cells, periods_of, pivot_period
+from tallyweek.operators.ranking import places_in_order, rows_before, with_dense_rank
+from tallyweek.operators.reshape import first_cells, periods_of, pivot_period, stacked_pivot
 from tallyweek.operators.schema import first_available, optional, select_available
 from tallyweek.plans.snap_share import snap_grid, snap_share_report
 
@@ -97,6 +97,37 @@ def test_hidden_rows_still_occupy_a_rank(frame):
     assert sorted((r.v, r.r) for r in ranked.collect()) == [(10.0, 3), (20.0, 2), (30.0, None)]
 
 
+def test_places_in_order_match_brute_force(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, 1, 2]), rnd.choice("abc"), i, rnd.randint(1, 4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, a string, b int, w int").repartition(5)
+    placed = places_in_order(df, ["g"], [F.asc("a"), F.desc("b")], {"n": F.lit(1), "s": F.col("w")}, "places")
+    assert placed.columns == ["g", "a", "b", "w", "n", "s"]
+    for r in placed.collect():
+        before = [x for x in rows if x[0] == r.g and (x[1], -x[2]) < (r.a, -r.b)]
+        assert (r.n, r.s) == (len(before), sum(x[3] for x in before))
+
+
+def test_stacked_pivot(spark):
+    cells = spark.createDataFrame([("a", 1, 1.0, 5.0), ("a", 3, None, 6.0), ("b", None, 2.0, 7.0)], "r string, w int, x double, y double")
+    got = sorted(tuple(r) for r in stacked_pivot(cells, ["r"], "w", [1, 2, 3], ["x", "y"]).selectExpr("r", "measure", "string(week_1)", "string(week_2)", "string(week_3)").collect())
+    assert got == [("a", "x", "1.0", None, None), ("a", "y", "5.0", None, "6.0"), ("b", "x", None, None, None), ("b", "y", None, None, None)]
+
+
+def test_rows_without_an_id_are_spread(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        snaps = spark.range(4000).selectExpr("IF(id % 2 = 0, NULL, concat('p', id)) AS s", "concat('n', id) AS name")
+        players = spark.createDataFrame([("p1", 1), (None, 2)], "f string, g int")
+        joined = bridge_id(snaps, players, "s", "f", apart=["name"])
+        assert joined.columns == ["s", "name", "g"] and joined.count() == 4000
+        assert [r.name for r in joined.where("g IS NOT NULL").collect()] == ["n1"]
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "xxhash64" in plan.split("Exchange hashpartitioning")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rows_before_matches_brute_force(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice([1, 2]), rng.choice(["x", "y", None]), rng.randint(0, 3), rng.random()) for i in range(500)]

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from tallyweek.plans import matrix, opportunity, quarterback, snap_share
+from tallyweek.plans import matrix, opportunity, quarterback, rushing, snap_share
 from tests.conftest import TESTDATA
 
 
@@ -59,10 +59,51 @@ def test_opportunity_scans_and_shuffles(spark, landed, no_broadcast):
     assert plan.count("Exchange hashpartitioning") <= 25
 
 
-def test_intensity_maxima_need_no_row_places(spark, landed, no_broadcast):
-    names = ("snap_counts", "players", "plays", "tracking_passing", "tracking_receiving", "tracking_rushing", "combine")
-    snaps, players, plays, *more = [spark.read.parquet(f"{landed}/{n}") for n in names]
-    rows = opportunity.with_dimensions(opportunity.scored_rows(snaps, players, plays), players, *more)
-    regulars = matrix.skill_regulars(rows)
-    counts = [plan_of(df).count("Exchange hashpartitioning") for df in (matrix.metric_rows(regulars), matrix.name_positions(regulars))]
-    assert plan_of(matrix.cell_intensity(regulars)).count("Exchange hashpartitioning") < 2 * counts[0] + counts[1]
+@pytest.fixture
+def parts(spark, landed):
+    names = ("snap_counts", "players", "plays", "tracking_passing", "tracking_receiving")
+    return matrix.Matrix(opportunity.matrix_input(*[spark.read.parquet(f"{landed}/{n}") for n in names]))
+
+
+def test_matrix_input_derives_nothing_else(spark, landed, no_broadcast):
+    names = ("snap_counts", "players", "plays", "tracking_passing", "tracking_receiving")
+    plan = plan_of(opportunity.matrix_input(*[spark.read.parquet(f"{landed}/{n}") for n in names]))
+    assert "lag(" not in plan and "rush_touchdown" not in plan and "combine" not in plan
+
+
+def test_row_places_shuffles(spark, parts, no_broadcast):
+    """Ordering the rows: one exchange before they are landed by range, and few after."""
+    order = parts.order
+    before = plan_of(parts.regulars.groupBy("season", "player_name").count()).count("Exchange")
+    assert before == 1 and plan_of(order).count("Exchange hashpartitioning") + before + 1 <= 8
+
+
+def test_building_the_matrix_runs_no_job(spark, parts):
+    regulars, order, weeks = parts.regulars, parts.order, parts.weeks
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    built = matrix.snap_matrix(regulars, order, weeks)
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    built.collect()
+    assert list(tracker.getJobIdsForGroup("building"))
+    spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_cells_are_derived_once(spark, parts, no_broadcast):
+    plan = plan_of(parts.cell_intensity())
+    assert "min_by" not in plan and "metric_rows-" in plan
+
+
+def test_no_raw_play_reaches_the_join(spark, landed, no_broadcast):
+    plays, players = spark.read.parquet(f"{landed}/plays"), spark.read.parquet(f"{landed}/players")
+    for df, keys in ((rushing.rushing_totals(plays, players), 1), (rushing.rushing_by_week(plays, players), 2)):
+        plan = plan_of(df)
+        branch = plan[: plan.index("/plays")].split("SortMergeJoin")[-1]
+        # Between the scan of plays and the join there are aggregates on the rusher.
+        assert branch.count("HashAggregate(keys=[rusher_player_id") >= 2
+
+
+def test_snap_labels_need_no_window_over_the_grid(spark, landed, no_broadcast):
+    plan = plan_of(snap_share.snap_share_report(spark.read.parquet(f"{landed}/snap_counts"))).split("SubqueryAdaptiveBroadcast")[0]
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and plan.index("Window [lag(") < plan.index("Generate explode") < plan.index("Window [min(")

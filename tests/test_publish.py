@@ -121,7 +121,8 @@ def test_stages_are_counted(spark, landed, tmp_path):
     run = publish_report(spark, "receiving", landed, 2020, str(tmp_path))
     assert run.stages == {"rows with targets": tables["player_stats"].where("targets > 0").count()}
     run = publish_report(spark, "snap_share", landed, 2020, str(tmp_path))
-    assert run.stages == {"grid rows": run.rows}
+    spans = tables["snap_counts"].select("pfr_player_id", "player", "position", "team").distinct().count()
+    assert run.stages == {"spans": spans}
 
 
 def test_stage_names_are_unique_and_needless_stages_count_nothing(spark):

@@ -147,23 +147,24 @@ def test_one_name_on_two_teams_merges(frame):
     rows += [weekly(w, "Quarter", "A", "QB", 1.0, completion_percentage=70.0) for w in (1, 2, 3)]
     rows += [weekly(1, "Rare", "A", "QB", 1.0), weekly(1, "Kick", "A", "K", 1.0)]
     regulars = matrix.skill_regulars(frame(REPORT, rows))
-    order = {r.player_name: r for r in matrix.player_order(regulars).collect()}
+    places = matrix.player_order(regulars)
+    order = {r.player_name: r for r in places.collect()}
     assert set(order) == {"Same", "Quarter"}
     assert (order["Same"].team, order["Same"].position) == ("B", "WR")
     assert (order["Quarter"].expanded_index, order["Same"].expanded_index) == (0, 2)
-    cells = matrix.metric_rows(regulars).where("player_name = 'Same' AND metric = 'targets'")
+    cells = matrix.metric_rows(regulars, places).where("player_name = 'Same' AND metric = 'targets'")
     assert sorted((r.week, r.value, r.row_label, r.row_index) for r in cells.collect()) == [
         (1, 1.0, "  → Targets", 3),
         (2, 12.0, "  → Targets", 3),
         (3, 13.0, "  → Targets", 3),
     ]
-    lines = sorted((r.line_at, r.kind, r.team_label) for r in matrix.group_boundaries(matrix.player_order(regulars)).collect())
+    lines = sorted((r.line_at, r.kind, r.team_label) for r in matrix.group_boundaries(places).collect())
     assert lines == [(1.5, "team", "A"), (5.5, "end", "B")]
 
 
 def test_scale_defaults_without_positive_maximum(frame):
     rows = [weekly(w, "R", "A", "RB", 0.5, targets=0.0, rush_first_downs=float(w)) for w in (1, 2, 4)]
-    cells = matrix.cell_intensity(matrix.skill_regulars(frame(REPORT, rows)))
+    cells = matrix.Matrix(frame(REPORT, rows)).cell_intensity()
     got = {(r.metric, r.week): (r.scale_maximum, r.intensity) for r in cells.collect()}
     assert got[("targets", 1)] == (15.0, 0.0)
     assert got[("rush_first_downs", 1)] == (4.0, 0.25)
