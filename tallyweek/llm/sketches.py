@@ -12,9 +12,10 @@ just one, and out of its two other cells, until all cells are zero: then the dig
 versions differ are recovered. A part that can't be peeled is built again with twice the cells.
 
 A fingerprint is a whole sketch: it is sized so that it can be peeled by itself, and depends on the
-text only. Two fingerprints with different parts or cells are subtracted in the larger number of
-parts, into which the digests peeled from the smaller one are dealt; a difference that can't be
-peeled has the cells of both doubled. So likenesses and differing digests follow from fingerprints.
+text only. ``near_edited`` and ``near_next`` subtract sketches of both texts' digests in the same
+number of parts, which the larger text decides, and peel the difference; one that can't be peeled
+has the cells of both doubled. Returned fingerprints of equal layout can be subtracted by their
+readers; others are peeled first.
 
 The likeness is the share of common digests among all. Everything is built-in functions.
 
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 
 from tallyweek.llm.shared import landed
 
-#: Lines beyond PARAGRAPH characters are cut into sentences, sentences beyond SENTENCE into chunks.
-PARAGRAPH, SENTENCE = 0, 200
+#: Sentences beyond SENTENCE characters are cut into chunks of WORDS words on average.
+SENTENCE, WORDS = 200, 8
 #: Digests of two texts in a part, and cells per hash of the first attempt.
 DIGESTS, HASHES, FIRST = 8, 3, 8
 #: Doublings of the cells: beyond these, only equal digests could be left.
@@ -67,12 +68,12 @@ def chunks(text: Column, between: str, window: int, mean: int) -> Column:
 
 def digests(text: Column) -> Column:
     """The different hashes of the text's paragraphs that aren't empty."""
-    lines = F.filter(F.split(text, "\n"), lambda p: F.length(p) > PARAGRAPH)
+    lines = F.filter(F.split(text, "\n"), lambda p: p != "")
     sentences = F.filter(F.flatten(F.transform(lines, lambda p: F.split(p, "(?<=[.!?]) "))), lambda p: p != "")
 
     def short(sentence: Column) -> Column:
         by_words = F.transform(
-            chunks(sentence, " ", 2, 16), lambda c: F.when(F.length(c) > 2 * SENTENCE, chunks(c, "", 4, 64)).otherwise(F.array(c))
+            chunks(sentence, " ", 2, WORDS), lambda c: F.when(F.length(c) > 2 * SENTENCE, chunks(c, "", 4, 64)).otherwise(F.array(c))
         )
         return F.when(F.length(sentence) > SENTENCE, F.flatten(by_words)).otherwise(F.array(sentence))
 

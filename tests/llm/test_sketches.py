@@ -11,7 +11,7 @@ from tallyweek.llm import sketches
 
 def _paragraphs(text):
     lines = [line for line in text.split("\n") if line]
-    return {p for line in lines for p in (re.split(r"(?<=[.!?]) ", line) if len(line) > sketches.PARAGRAPH else [line])}
+    return {p for line in lines for p in re.split(r"(?<=[.!?]) ", line)}
 
 
 def _likeness(a, b):
