@@ -17,7 +17,7 @@ from tallyweek.functions.scalars import clip, one_decimal_text, percent_text, po
 from tallyweek.operators.entities import min_appearances
 from tallyweek.operators.lookup import scalar_map
 from tallyweek.operators.ranking import null_safe_join, places_in_order
-from tallyweek.operators.reshape import first_cells, stacked_pivot
+from tallyweek.operators.reshape import first_cells, pivot_period
 from tallyweek.sinks.landing import land, land_observed
 
 SKILL_POSITIONS = ["QB", "WR", "RB", "TE"]
@@ -146,10 +146,15 @@ def matrix_cells(regulars: DataFrame, order: DataFrame) -> DataFrame:
 
 def snap_matrix(regulars: DataFrame, order: DataFrame, weeks: Sequence[int]) -> DataFrame:
     """The measures' matrices stacked: a row per measure and name, a column per week."""
-    rows = ["season", "row_index", "player_name", "team", "position"]
-    stacked = stacked_pivot(matrix_cells(regulars, order), rows, "week", weeks, list(MEASURE_POSITIONS))
-    names = ["season", "measure", "row_index", "player_name", "team", "position"]
-    return stacked.select(*names, *[f"week_{w}" for w in weeks])
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURE_POSITIONS])
+    )
+    cells = matrix_cells(regulars, order).select(
+        "season", "row_index", "player_name", "team", "position", "week", pairs.alias("cell")
+    )
+    long = cells.select("season", "row_index", "player_name", "team", "position", "week", "cell.*")
+    rows = ["season", "measure", "row_index", "player_name", "team", "position"]
+    return pivot_period(long, rows, "week", weeks, "value")
 
 
 def metric_rows(regulars: DataFrame, order: DataFrame) -> DataFrame:
