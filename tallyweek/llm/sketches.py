@@ -5,19 +5,17 @@ neighbouring words says so, and what is still long (text without spaces) where t
 characters does: cuts depend on the text around them only, so an edit changes the paragraphs it meets.
 
 The set of a document's paragraph digests is sketched in cells of (count, xor of digests, xor of
-check hashes); every digest is in three of them. Digests are first dealt by hash into parts, a power
-of two by the number of digests, so work grows with the text and not its square. Cells of two
-versions subtract, which cancels what they share. Peeling takes a digest out of a cell that holds
-just one, and out of its two other cells, until all cells are zero: then the digests by which the
-versions differ are recovered. A part that can't be peeled is built again with twice the cells.
-
-A fingerprint is a whole sketch: it is sized so that it can be peeled by itself, and depends on the
-text only. ``near_edited`` and ``near_next`` subtract sketches of both texts' digests in the same
-number of parts, which the larger text decides, and peel the difference; one that can't be peeled
-has the cells of both doubled. Returned fingerprints of equal layout can be subtracted by their
-readers; others are peeled first.
-
-The likeness is the share of common digests among all. Everything is built-in functions.
+check hashes). There is a table of cells for each of HASHES hashes, and a digest is in one cell of
+each. Tables have a power of two of cells, by the text's number of digests; a larger sketch folds
+into a smaller one by the remainder of its cells' places. Cells of two versions subtract, which
+cancels what they share. Peeling takes the digests out of cells that hold just one, table by table,
+until all cells are zero: then the digests by which the versions differ are recovered.
+
+``near_edited`` and ``near_next`` subtract the cells of the two fingerprints in the size of the smaller
+one. Where that doesn't peel, the difference of sketches in tables for all digests of both texts
+counts, then of tables twice as large, as long as there are failures. The likeness is the share of common
+digests among all. Everything is built-in functions: digests are exploded into rows, cells are
+aggregates of them, and peeling is a chain of aggregates on one exchange by document.
 
 Defined results: a null text counts as empty; two documents without paragraphs are alike (1.0);
 documents with equal ids follow each other by a hash of their texts, null ids come last; rows that
@@ -33,14 +31,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import landed
+from tallyweek.llm.shared import landed, landed_observed
 
 #: Sentences beyond SENTENCE characters are cut into chunks of WORDS words on average.
 SENTENCE, WORDS = 200, 8
-#: Digests of two texts in a part, and cells per hash of the first attempt.
-DIGESTS, HASHES, FIRST = 8, 3, 8
-#: Doublings of the cells: beyond these, only equal digests could be left.
-DOUBLINGS = 30
+HASHES = 3
+#: Digests for a cell of a table on average, and the least cells of a table.
+LOAD, LEAST = 2, 4
+#: Tables that are peeled in an attempt, in turn; what needs more is tried in larger tables.
+STEPS = 12
+#: Digests of all versions held by a task, some 250 MB of cells.
+TASK_DIGESTS = 500_000
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -68,122 +69,123 @@ def chunks(text: Column, between: str, window: int, mean: int) -> Column:
 
 def digests(text: Column) -> Column:
     """The different hashes of the text's paragraphs that aren't empty."""
-    lines = F.filter(F.split(text, "\n"), lambda p: p != "")
-    sentences = F.filter(F.flatten(F.transform(lines, lambda p: F.split(p, "(?<=[.!?]) "))), lambda p: p != "")
-
     def short(sentence: Column) -> Column:
         by_words = F.transform(
             chunks(sentence, " ", 2, WORDS), lambda c: F.when(F.length(c) > 2 * SENTENCE, chunks(c, "", 4, 64)).otherwise(F.array(c))
         )
         return F.when(F.length(sentence) > SENTENCE, F.flatten(by_words)).otherwise(F.array(sentence))
 
+    # One split of the whole text: a pattern inside a lambda would be compiled for every line.
+    sentences = F.filter(F.split(text, "\n|(?<=[.!?]) "), lambda p: p != "")
     return F.array_distinct(F.transform(F.flatten(F.transform(sentences, short)), lambda p: F.xxhash64(p)))
 
 
-def check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit("check"))
-
-
-def cells_of(key: Column, per_hash: Column) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(key, per_hash, F.lit(j)), per_hash) + j * per_hash for j in range(HASHES)])
-
-
-def n_parts(found: Column) -> Column:
-    """The least power of two that gives a part at most half of DIGESTS on average."""
-    least = F.greatest(F.lit(1), F.ceil(2 * F.size(found) / DIGESTS))
+def table_size(n: Column) -> Column:
+    """The least power of two that gives a cell of a table at most LOAD of n digests on average."""
+    least = F.greatest(F.lit(LEAST), F.ceil(n / LOAD))
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(F.bin(2 * least - 1)) - 1)
 
 
-def signed(found: Column, sign: int) -> Column:
-    return F.transform(found, lambda k: F.struct(k.alias("k"), F.lit(sign).alias("sign")))
-
-
-def _cells(members: Column, per_hash: Column) -> Column:
-    """The cells that aren't zero, by place, of members (k, sign)."""
-    placed = F.flatten(F.transform(members, lambda x: F.transform(
-        cells_of(x["k"], per_hash), lambda c: F.struct(c.alias("cell"), x["k"].alias("k"), x["sign"].alias("sign"))
-    )))
-
-    def cell(own: Column) -> Column:
-        zero = F.struct(F.get(own, F.lit(0))["cell"].alias("cell"), F.lit(0).alias("c"), F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("h"))
-        return F.aggregate(own, zero, lambda s, x: F.struct(
-            s["cell"].alias("cell"), (s["c"] + x["sign"]).alias("c"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["h"].bitwiseXOR(check(x["k"])).alias("h")
-        ))
-
-    made = runs(F.array_sort(placed), lambda r, i: F.get(r, i - 1)["cell"] != F.get(r, i - 2)["cell"], cell)
-    return F.filter(made, lambda y: (y["c"] != 0) | (y["k"] != 0) | (y["h"] != 0))
-
-
-def _peeled(cells: Column, per_hash: Column) -> Column:
-    """(cells that are left, number of digests taken out) of a difference of sketches."""
-    def take(state: Column, _: Column) -> Column:
-        single = F.get(F.filter(state["cells"], lambda x: (F.abs(x["c"]) == 1) & (check(x["k"]) == x["h"])), F.lit(0))
-        known = F.struct(single.alias("x"))
-
-        def without(x: Column) -> Column:
-            fewer = bound(cells_of(x["k"], per_hash), lambda at: F.transform(state["cells"], lambda y: F.when(
-                F.array_contains(at, y["cell"]),
-                F.struct(y["cell"].alias("cell"), (y["c"] - x["c"]).alias("c"), y["k"].bitwiseXOR(x["k"]).alias("k"), y["h"].bitwiseXOR(x["h"]).alias("h")),
-            ).otherwise(y)))
-            left = F.filter(fewer, lambda y: (y["c"] != 0) | (y["k"] != 0) | (y["h"] != 0))
-            return F.struct(left.alias("cells"), (state["n"] + 1).alias("n"))
-
-        return bound(known, lambda s: F.when(s["x"].isNull(), state).otherwise(without(s["x"])))
-
-    start = F.struct(cells.alias("cells"), F.lit(0).cast("bigint").alias("n"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(cells), F.lit(1))), start, take)
-
-
-def sketch(members: Column, parts: Column) -> Column:
-    """The parts that hold members (k, sign): (part, per_hash, cells, n), with the cells of the first
-    attempt that peels, and the number of digests peeled."""
-    dealt = F.array_sort(F.transform(members, lambda x: F.struct(
-        F.pmod(F.xxhash64(x["k"], F.lit("part")), parts).alias("part"), x["k"].alias("k"), x["sign"].alias("sign")
-    )))
+def check(key: Column) -> Column:
+    return F.xxhash64(key, F.lit("check"))
 
-    def attempts(own: Column) -> Column:
-        none = F.filter(_cells(own, F.lit(1).cast("bigint")), lambda _: F.lit(False))
-        start = F.struct(F.lit(0).cast("bigint").alias("per_hash"), none.alias("cells"), F.lit(-1).cast("bigint").alias("n"))
 
-        def again(state: Column, doubled: Column) -> Column:
-            def tried(t: Column) -> Column:
-                done = bound(_peeled(t["cells"], t["per_hash"]), lambda p: F.when(F.size(p["cells"]) == 0, p["n"]).otherwise(F.lit(-1).cast("bigint")))
-                return F.struct(t["per_hash"].alias("per_hash"), t["cells"].alias("cells"), done.alias("n"))
+def cell_of(key: Column, j: int, per_table: Column) -> Column:
+    """The digest's cell in table j: table and place in one number."""
+    return F.pmod(F.xxhash64(key, F.lit(j)), per_table) * HASHES + j
 
-            made = lambda size: F.struct(size.alias("per_hash"), _cells(own, size).alias("cells"))
-            size = F.lit(FIRST).cast("bigint") * F.call_function("shiftleft", F.lit(1).cast("bigint"), doubled)
-            return F.when(state["n"] >= 0, state).otherwise(bound(size, lambda z: bound(made(z), tried)))
 
-        return F.aggregate(F.sequence(F.lit(0), F.lit(DOUBLINGS)), start, again)
+def _summed(rows: DataFrame) -> DataFrame:
+    """The cells that aren't zero. Rows are partitioned by the key alone, so there is no exchange."""
+    cells = rows.groupBy("key", "v", "per_table", "cell").agg(F.sum("c").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
+    return cells.where("c != 0 OR k != 0 OR h != 0")
 
-    def part(own: Column) -> Column:
-        return bound(attempts(own), lambda s: F.struct(
-            F.get(own, F.lit(0))["part"].alias("part"), s["per_hash"].alias("per_hash"), s["cells"].alias("cells"), s["n"].alias("n")
-        ))
 
-    return runs(dealt, lambda r, i: F.get(r, i - 1)["part"] != F.get(r, i - 2)["part"], part)
+def sketch(sets: DataFrame) -> DataFrame:
+    """Rows (key, v, per_table, cell, c, k, h) of sets (key, v, per_table, plus, minus) of digests: the
+    cells of the sketch of ``plus`` less those of ``minus``."""
+    sides = F.array(*[F.struct(F.lit(sign).cast("bigint").alias("c"), F.col(name).alias("found")) for sign, name in ((1, "plus"), (-1, "minus"))])
+    members = sets.select("key", "v", "per_table", F.inline(sides)).select("key", "v", "per_table", "c", F.explode("found").alias("k"))
+    cells = F.array(*[cell_of(F.col("k"), j, F.col("per_table")) for j in range(HASHES)])
+    return _summed(members.select("key", "v", "per_table", F.explode(cells).alias("cell"), "c", "k", check(F.col("k")).alias("h")))
 
 
-def printed(found: Column) -> Column:
-    """The sketch of digests as text: the numbers of digests and parts, then of each part that isn't
-    empty its number, cells per hash, and (cell, count, digest xor, check xor) of each cell."""
-    def cell(y: Column) -> Column:
-        return F.concat_ws(".", y["cell"].cast("string"), y["c"].cast("string"), F.lower(F.hex(y["k"])), F.lower(F.hex(y["h"])))
+#: The number of a row that counts the digests taken out of a sketch.
+TALLY = -1
 
-    def part(p: Column) -> Column:
-        return F.concat_ws(":", p["part"].cast("string"), p["per_hash"].cast("string"), F.concat_ws(",", F.transform(p["cells"], cell)))
 
-    parts = F.transform(sketch(signed(found, 1), n_parts(found)), part)
-    return F.concat_ws("-", F.size(found).cast("string"), n_parts(found).cast("string"), parts)
+def peeled(cells: DataFrame) -> DataFrame:
+    """Rows (key, v, n, left): the digests taken out of each sketch, and the cells left. Sketches
+    without cells have no row."""
+    for step in range(STEPS):
+        own = step % HASHES  # within one table no digest is in two cells, so none is taken twice
+        row = lambda cell, c, k, h: F.struct(cell.cast("bigint").alias("cell"), c.alias("c"), k.alias("k"), h.alias("h"))
+        c, k, h, zero = F.col("c"), F.col("k"), F.col("h"), F.lit(0).cast("bigint")
+        pure = (F.col("cell") % HASHES == own) & (F.abs(c) == 1) & (h == check(k))
+        others = [row(cell_of(k, j, F.col("per_table")), -c, k, h) for j in range(HASHES) if j != own]
+        taken = F.array(row(F.lit(TALLY), F.lit(1).cast("bigint"), zero, zero), *others)
+        kept = F.array(row(F.col("cell"), c, k, h))
+        cells = _summed(cells.select("key", "v", "per_table", F.inline(F.when(pure, taken).otherwise(kept))))
+    tally = F.col("cell") == TALLY
+    return cells.groupBy("key", "v").agg(
+        F.coalesce(F.sum(F.when(tally, F.col("c"))), F.lit(0)).alias("n"), F.count(F.when(~tally, 1)).alias("left")
+    )
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """The share of common digests, by the difference of the sketches of two sets of digests."""
-    apart = F.aggregate(
-        sketch(F.concat(signed(a, 1), signed(b, -1)), F.greatest(n_parts(a), n_parts(b))), F.lit(0).cast("bigint"), lambda n, p: n + p["n"]
-    )
-    total = F.size(a) + F.size(b)
-    return F.when(total == 0, 1.0).otherwise(bound(apart, lambda n: (total - n) / (total + n)))
+def printed(found: DataFrame, tasks: int) -> DataFrame:
+    """Rows (key, fingerprint, edited_fingerprint): the sketches of own and changed digests as text:
+    the numbers of digests and of cells per table, then each cell that isn't zero as cell.count.sums,
+    where sums is base64 of both xors, eight bytes each."""
+    none = F.array().cast("array<bigint>")
+    sides = [F.struct(F.lit(v).alias("v"), table_size(F.size(name)).alias("per_table"), F.col(name).alias("plus"), none.alias("minus")) for v, name in enumerate(("own", "changed"))]
+    dealt = found.select("key", "own", "changed").repartition(tasks, "key")
+    cells = sketch(dealt.select("key", F.inline(F.array(*sides))))
+    sums = F.base64(F.unhex(F.concat(F.lpad(F.hex("k"), 16, "0"), F.lpad(F.hex("h"), 16, "0"))))
+    text = F.concat_ws(".", F.col("cell").cast("string"), F.col("c").cast("string"), F.rtrim(sums, F.lit("=")))
+    cells = cells.select("key", "v", F.struct("cell", text.alias("text")).alias("one"))
+    lists = cells.groupBy("key").agg(*[F.array_sort(F.collect_list(F.when(F.col("v") == v, F.col("one")))).alias(f"cells_{v}") for v in (0, 1)])
+    return lists.select("key", *[F.array_join(F.transform(f"cells_{v}", lambda x: x["text"]), ",").alias(name) for v, name in enumerate(("fingerprint", "edited_fingerprint"))])
+
+
+def _compared(found: DataFrame, attempts: list[int]) -> DataFrame:
+    """Sets to be subtracted, own digests against changed (pair 0) and other ones (pair 1): in the
+    smaller fingerprint's size at attempt 0, then in one for all digests, doubled from attempt to attempt.
+    v is twice the attempt plus the pair."""
+    own, sides = F.col("own"), []
+    for attempt in attempts:
+        for pair, name in enumerate(("changed", "other")):
+            both = table_size(F.size(own) + F.size(name))
+            size = both * 2 ** (attempt - 1) if attempt else F.least(table_size(F.size(own)), table_size(F.size(name)))
+            sides.append(F.struct(F.lit(2 * attempt + pair).alias("v"), size.cast("bigint").alias("per_table"), own.alias("plus"), F.col(name).alias("minus")))
+    return found.select("key", F.inline(F.array(*sides)))
+
+
+def differences(found: DataFrame, tasks: int) -> DataFrame:
+    """Rows (key, apart_0, apart_1): the number of digests by which own and changed, and own and other
+    ones differ. Pairs without a row don't differ."""
+    done, attempts, todo = [], [0, 1], found.select("key", "own", "changed", "other")
+    while True:
+        result = peeled(sketch(_compared(todo.repartition(tasks, "key"), attempts)))
+        pair = F.col("v") % 2
+        tried = result.groupBy("key").agg(*[
+            c for p in (0, 1) for c in (
+                F.min(F.when((pair == p) & (F.col("left") == 0), F.struct("v", "n")))["n"].alias(f"apart_{p}"),
+                F.coalesce(F.max(pair == p), F.lit(False)).alias(f"seen_{p}"),
+            )
+        ])
+        failed = " OR ".join(f"(seen_{p} AND apart_{p} IS NULL)" for p in (0, 1))
+        tried, counts = landed_observed(tried.withColumn("failed", F.expr(failed)), "sketch-peeled", failures=F.count(F.when(F.col("failed"), 1)))
+        done.append(tried.where("NOT failed").select("key", "apart_0", "apart_1"))
+        if not counts["failures"]:
+            break
+        # Both pairs of a document are tried again: what has peeled does so in larger tables as a rule.
+        digests_left = F.sum(F.size("own") + F.size("changed") + F.size("other"))
+        todo, counts = landed_observed(todo.join(tried.where("failed").select("key"), "key"), "sketch-retry", digests=digests_left)
+        attempts, tasks = [attempts[-1] + 1], -(-counts["digests"] // TASK_DIGESTS)
+    out = done[0]
+    for more in done[1:]:
+        out = out.union(more)
+    return out
 
 
 def following(rows: DataFrame) -> DataFrame:
@@ -230,10 +232,23 @@ def versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)."""
-    own, changed, other = F.col("own"), F.col("changed"), F.col("other")
-    rows = versions(docs, id_col, text_col).select(
-        "id", "copies", "n_chars", "edited_sha256", printed(own).alias("fingerprint"), printed(changed).alias("edited_fingerprint"),
-        likeness(own, changed).alias("near_edited"), likeness(own, other).alias("near_next"),
+    all_digests = F.sum(F.size("own") + F.size("changed") + F.size("other"))
+    found, counts = landed_observed(versions(docs, id_col, text_col), "sketch-digests", digests=all_digests)
+    tasks = -(-(counts["digests"] or 1) // TASK_DIGESTS)
+    own, changed, other = F.size("own"), F.size("changed"), F.size("other")
+    heads = found.select("key", "id", "copies", "n_chars", "edited_sha256", own.alias("own"), changed.alias("changed"), other.alias("other"))
+    rows = heads.join(printed(found, tasks), "key", "left").join(differences(found, tasks), "key", "left")
+
+    def shown(n: str, cells: str) -> Column:
+        return F.concat_ws("-", F.col(n).cast("string"), table_size(F.col(n)).cast("string"), F.coalesce(F.col(cells), F.lit(""))).alias(cells)
+
+    def near(n: str, apart: str) -> Column:
+        total, away = F.col("own") + F.col(n), F.coalesce(F.col(apart), F.lit(0))
+        return F.when(total == 0, 1.0).otherwise((total - away) / (total + away))
+
+    rows = rows.select(
+        "id", "n_chars", "edited_sha256", shown("own", "fingerprint"), shown("changed", "edited_fingerprint"),
+        near("changed", "apart_0").alias("near_edited"), near("other", "apart_1").alias("near_next"),
+        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     )
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return rows.drop("copies", "copy")
+    return rows.drop("copy")
