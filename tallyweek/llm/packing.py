@@ -11,8 +11,8 @@ A round takes all pieces not yet placed and all open gaps:
 3. What is left over in a partition has only its rank there. The counts per partition (a few
    numbers each) are matched from the smallest gaps up, and pieces and gaps with conflicting
    wishes meet by their ranks, in one join on unique keys.
-4. Gaps shrink by what they took, and the next round begins, until no piece is left. Once all
-   that is left fits a task (TASK_ROWS rows), that task runs the remaining rounds.
+4. Gaps shrink by what they took, and the next round begins, until no piece is left. The last
+   LAST_ROWS rows are one size range, for which one task runs the remaining rounds.
 
 Every round places something, and a gap is filled at least by half of what fits, so the number of
 rounds grows with the logarithm of the capacity, not with the rows.
@@ -37,8 +37,8 @@ from tallyweek.llm.shared import landed, landed_observed, numbered, text_bytes,
 from tallyweek.llm.tokens import WordEncoder
 
 CAPACITY, END_TOKEN = 4096, 1
-#: Rows swept by one task.
-TASK_ROWS = 200_000
+#: Rows swept by one task, partitions of a sweep where rows are fewer, and rows that one task packs to the end.
+TASK_ROWS, LEAST_TASKS, LAST_ROWS = 200_000, 8, 4_000
 
 _PIECES = "id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -133,7 +133,7 @@ def match_leftovers(parts: list[tuple[int, int, int, int, int]]) -> list[tuple[i
 
 
 def _round(state: DataFrame, capacity: int, rows: int, largest_gap: int, largest_piece: int) -> DataFrame:
-    tasks = -(-rows // TASK_ROWS)
+    tasks = max(LEAST_TASKS, -(-rows // TASK_ROWS))
     opens_from = largest_piece // 2 + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,7 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     state = items.where(F.col("size") < capacity).select(F.lit(PIECE).alias("kind"), "item", "size", F.lit(-1).cast("bigint").alias("seq"))
     measured = state.agg(*[c.alias(n) for n, c in _measures().items()]).first().asDict()
     placed = [full]
-    while measured["rows"] > TASK_ROWS and measured["pieces"]:
+    while measured["rows"] > LAST_ROWS and measured["pieces"]:
         swept = landed(_round(state, capacity, measured["rows"], measured["largest_gap"] or 0, measured["largest_piece"]), "packing-sweep")
         left = swept.where(F.col("kind") != PLACED).groupBy("part").agg(
             F.count(F.when(F.col("kind") == PIECE, 1)).alias("pieces"), F.max(F.when(F.col("kind") == PIECE, F.col("size"))).alias("largest"),
@@ -223,11 +223,10 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         parts = sorted(tuple(r) for r in left.collect())  # a row per partition of the sweep
         matches = match_leftovers(parts)
         if matches:
-            counted = []
+            counted, top = [], {p[0]: p[1] for p in parts}
             for k, (gap_part, first_gap, n_gaps, piece_part, first_piece, each) in enumerate(matches):
-                taken = next((m[4] for m in reversed(matches[:k]) if m[3] == piece_part), None)
-                top = taken if taken is not None else next(p[1] for p in parts if p[0] == piece_part)
-                counted.append((gap_part, first_gap, n_gaps, piece_part, first_piece, top - first_piece, each, k))
+                counted.append((gap_part, first_gap, n_gaps, piece_part, first_piece, top[piece_part] - first_piece, each, k))
+                top[piece_part] = first_piece
             rows = _meet(swept, counted)
         else:
             rows = swept.select("kind", "item", "size", "seq")

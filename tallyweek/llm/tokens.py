@@ -97,15 +97,24 @@ class WordEncoder:
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
-        out = []
+        out: list[bytes] = []
         for at in range(0, len(texts), TEXTS):
             words = [text.split() for text in texts[at : at + TEXTS]]
-            wanted = set(chain.from_iterable(words))
-            new = wanted.difference(self._known)
-            if len(self._known) + len(new) > REMEMBERED:
-                self._known.clear()
-                new = wanted
-            if new:
+            ids, strange = [], []
+            for k, w in enumerate(words):
+                try:
+                    ids.append(b"".join(map(self._known.__getitem__, w)))
+                except KeyError:
+                    ids.append(b"")
+                    strange.append(k)
+            if strange:
+                wanted = set(chain.from_iterable(words[k] for k in strange))
+                new = wanted.difference(self._known)
+                if len(self._known) + len(new) > REMEMBERED:
+                    self._known.clear()
+                    new = wanted
                 self._learn(new)
-            out += [b"".join(map(self._known.__getitem__, w)) for w in words]
+                for k in strange:
+                    ids[k] = b"".join(map(self._known.__getitem__, words[k]))
+            out += ids
         return out

@@ -40,6 +40,9 @@ def test_words_encode_as_whole_texts(remembered, at_once, monkeypatch):
 @pytest.mark.parametrize("name", ["tiny", "same", "spread", "one"])
 def test_items_fill_sequences(spark, task_rows, name, monkeypatch):
     monkeypatch.setattr(packing, "TASK_ROWS", task_rows)
+    monkeypatch.setattr(packing, "LAST_ROWS", min(task_rows, packing.LAST_ROWS))
+    rounds, one_round = [], packing._round
+    monkeypatch.setattr(packing, "_round", lambda *given: rounds.append(1) or one_round(*given))
     rnd = random.Random(1)
     sizes = {
         "tiny": [rnd.randint(1, 3) for _ in range(400)],
@@ -54,6 +57,7 @@ def test_items_fill_sequences(spark, task_rows, name, monkeypatch):
         filled[r.seq] += r["size"]
     assert max(filled.values()) <= 100
     assert len(filled) <= 1.06 * _best_fit_decreasing(sizes, 100) + 1
+    assert bool(rounds) == (len(sizes) > packing.LAST_ROWS)
 
 
 def test_documents_are_whole(spark, texts):
