@@ -90,3 +90,47 @@ def test_all_literals_of_a_constant():
     assert {text[a:b] for _, a, b, _ in secrets.spans_of(text)} == set(lines)
     chain = 'a0 = "Zx8#kLm9Qp"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(300)) + "auth_key = a300\n"
     assert [chain[a:b] for _, a, b, _ in secrets.spans_of(chain)] == ["Zx8#kLm9Qp"]
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("my $auth_key = 'Zx8#kLm9Qp';", ["Zx8#kLm9Qp"]),
+        ("@auth_key = 'Zx8#kLm9Qp'", ["Zx8#kLm9Qp"]),
+        ("$conf{auth_key} = 'Zx8#kLm9Qp';", ["Zx8#kLm9Qp"]),
+        ('auth_key = ("Zx8#kLm9Qp")', ["Zx8#kLm9Qp"]),
+        ('{"auth_key": ["Zx8#kLm9Qp", "Yw7#kLm9Qp"], "user": ["Bob#12345x"]}', ["Zx8#kLm9Qp", "Yw7#kLm9Qp"]),
+        ('auth_keys = [\n  "Zx8#kLm9Qp",  # old\n  "Yw7#kLm9Qp",\n]\n', ["Zx8#kLm9Qp", "Yw7#kLm9Qp"]),
+        ('auth_key = os.getenv("AUTH_KEY_2x", "Zx8#kLm9Qp")', ["Zx8#kLm9Qp"]),
+        ('auth_key = os.environ.get("AUTH_KEY_2x") or "Zx8#kLm9Qp"', ["Zx8#kLm9Qp"]),
+        ('const authKey = process.env.AUTH_KEY || "Zx8#kLm9Qp";', ["Zx8#kLm9Qp"]),
+        ('auth_key = SecretStr("Zx8#kLm9Qp")', ["Zx8#kLm9Qp"]),
+        ('auth_key = b"Zx8#kLm9Qp"', ["Zx8#kLm9Qp"]),
+        ('auth_key = pick("Zx8#kLm9Qp", "Yw7#kLm9Qp")', []),
+        ("authKey := `Zx8#kLm9Qp`", ["Zx8#kLm9Qp"]),
+        ("private_key: |\n  MIIEvQ8xZk3Lm9Qp\n\n  Yw7TkLm9QpZx8aB2\nuser: Bob12345Xyz9\n", ["MIIEvQ8xZk3Lm9Qp", "Yw7TkLm9QpZx8aB2"]),
+        ('DBPWD="Zx8#kLm9Qp"', ["Zx8#kLm9Qp"]),
+        ("dbpass = 'Zx8#kLm9Qp'", ["Zx8#kLm9Qp"]),
+        ("monkey = 'Zx8#kLm9Qp'", []),
+        ('auth_key = KEY2\nKEY2 = "Zx8#kLm9Qp"\n', ["Zx8#kLm9Qp"]),
+        ('auth_key = A\nA = B\nB = A + "Zx8#kLm9Qp"\n', ["Zx8#kLm9Qp"]),
+        ('<add key="DbPass" value="Zx8#kLm9Qp"/>', ["Zx8#kLm9Qp"]),
+        ('<add key="Theme" value="Zx8#kLm9Qp"/>', []),
+        ('{"name": "AUTH_KEY", "value": "Zx8#kLm9Qp"}', ["Zx8#kLm9Qp"]),
+        ("env:\n  - name: AUTH_KEY\n    value: Zx8#kLm9Qp\n", ["Zx8#kLm9Qp"]),
+        ("auth_key = $OTHER_KEY_9x\n", []),
+        ('auth_key = connect(user="Zx8#kLm9Qp")', []),
+    ],
+)
+def test_forms_of_assignments(text, found):
+    assert [text[a:b] for kind, a, b, _ in secrets.spans_of(text) if kind == "named"] == found
+
+
+def test_many_spans_take_linear_work():
+    lines = [f'auth_key_{i} = "Zx8#kLm9Q{i}"\ntoken = "abc{i:05d}"\n' for i in range(20_000)]
+    spans = secrets.spans_of("".join(lines))
+    assert [kind for kind, *_ in spans] == ["named", "assign"] * 20_000
+    assert [s[0] for s in secrets.spans_of("key" * 200_000 + ' = "Zx8#kLm9Qp"')] == []
+    nested = "auth = " + '("Zx8#kLm9Qp", ' * 50_000 + ")" * 50_000
+    assert len(secrets.spans_of(nested)) == 50_000
+    assert secrets.spans_of("auth = (" * 50_000) == [] and secrets.spans_of('auth = "x" ["' * 20_000) == []
