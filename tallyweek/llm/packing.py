@@ -9,8 +9,8 @@ A round takes all pieces not yet placed and all open gaps:
    the largest pieces of that zone that still fit; only the upper half of the sizes opens at once,
    so that smaller pieces stay to fill what those leave.
 3. What is left over in a partition has only its rank there. The counts per partition (a few
-   numbers each) are matched from the smallest gaps up, and pieces and gaps with conflicting
-   wishes meet by their ranks, in one join on unique keys.
+   numbers each, a row that its sweep writes) are matched from the smallest gaps up, and pieces and
+   gaps with conflicting wishes meet by their ranks, in one aggregation by gap.
 4. Gaps shrink by what they took, and the next round begins, until no piece is left. The last
    LAST_ROWS rows are one size range, for which one task runs the remaining rounds.
 
@@ -66,7 +66,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_token:
     return rows.mapInArrow(run, _PIECES.format(kind=docs.schema[id_col].dataType.simpleString()))
 
 
-PIECE, GAP, PLACED = 0, 1, 2
+#: Kinds of rows; of a COUNTED one item, size, seq and rank are the pieces left, the largest, the gaps left and the smallest.
+PIECE, GAP, PLACED, COUNTED = range(4)
 _STATE = "kind int, item bigint, size int, seq bigint"
 _SWEPT = pa.schema([("kind", pa.int32()), ("item", pa.int64()), ("size", pa.int32()), ("seq", pa.int64()), ("part", pa.int32()), ("rank", pa.int64())])
 
@@ -148,7 +149,10 @@ def _round(state: DataFrame, capacity: int, rows: int, largest_gap: int, largest
         for kind, item, size, seq in out:
             ranked.append((kind, item, size, seq, part, rank[kind]))
             rank[kind] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*ranked) if ranked else [()] * 6, _SWEPT)], schema=_SWEPT)
+        largest = max((size for kind, _, size, _ in out if kind == PIECE), default=0)
+        smallest = min((size for kind, _, size, _ in out if kind == GAP), default=0)
+        ranked.append((COUNTED, rank[PIECE], largest, rank[GAP], part, smallest))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*ranked), _SWEPT)], schema=_SWEPT)
 
     # The item makes equal sizes divisible over partitions.
     dealt = state.repartitionByRange(tasks, "size", "kind", "item").sortWithinPartitions("size", "kind", "item")
@@ -176,24 +180,26 @@ def _finish(state: DataFrame, capacity: int) -> DataFrame:
 
 
 def _meet(swept: DataFrame, matches: list[tuple]) -> DataFrame:
-    """The rows after a round: leftover pieces placed by their ranks, gaps less what they took."""
-    spark = swept.sparkSession
-    # At most two matches for each partition of the sweep.
-    table = F.broadcast(spark.createDataFrame(matches, "gap_part int, first_gap bigint, n_gaps bigint, piece_part int, first_piece bigint, n_pieces bigint, each bigint, of int"))
-    gaps, left = swept.where(F.col("kind") == GAP), swept.where(F.col("kind") == PIECE)
-    in_gap = (F.col("part") == F.col("gap_part")) & (F.col("rank") >= F.col("first_gap")) & (F.col("rank") < F.col("first_gap") + F.col("n_gaps"))
-    in_piece = (F.col("part") == F.col("piece_part")) & (F.col("rank") >= F.col("first_piece")) & (F.col("rank") < F.col("first_piece") + F.col("n_pieces"))
+    """The rows after a round: leftover pieces placed by their ranks, gaps less what they took.
+
+    ``matches``: (kind, partition, first rank, rank after the last, pieces per gap, number of the match)."""
+    # Two rows for each match, of which there are at most two for each partition of the sweep.
+    table = swept.sparkSession.createDataFrame(matches, "of_kind int, of_part int, begin bigint, end bigint, each bigint, of int")
+    meant = (F.col("kind") == F.col("of_kind")) & (F.col("part") == F.col("of_part")) & (F.col("rank") >= F.col("begin")) & (F.col("rank") < F.col("end"))
+    is_piece = F.col("kind") == PIECE
     # The largest pieces go to the first gaps, which are the smallest and fit them all.
-    turn = F.floor((F.col("first_piece") + F.col("n_pieces") - 1 - F.col("rank")) / F.col("each"))
-    asking = left.join(table, in_piece, "left").select("item", "size", "of", turn.alias("turn"))
-    offering = gaps.join(table, in_gap, "left").select("seq", F.col("size").alias("room"), "of", (F.col("rank") - F.col("first_gap")).alias("turn"))
-    met = asking.join(offering.where("of IS NOT NULL"), ["of", "turn"], "left")
-    took = met.where("seq IS NOT NULL").groupBy("seq").agg(F.sum("size").alias("took"))
-    pieces_now = met.select(F.when(F.col("seq").isNull(), PIECE).otherwise(PLACED).alias("kind"), "item", "size", F.coalesce("seq", F.lit(-1)).alias("seq"))
-    rest = (F.col("room") - F.coalesce("took", F.lit(0))).cast("int")
-    gaps_now = offering.join(took, "seq", "left").select(F.lit(GAP).alias("kind"), F.col("seq").alias("item"), rest.alias("size"), "seq")
-    placed = swept.where(F.col("kind") == PLACED).select("kind", "item", "size", "seq")
-    return placed.union(pieces_now).union(gaps_now.where("size > 0"))
+    turn = F.when(is_piece, F.floor((F.col("end") - 1 - F.col("rank")) / F.col("each"))).otherwise(F.col("rank") - F.col("begin"))
+    rows = swept.where(F.col("kind") != COUNTED).join(F.broadcast(table), meant, "left").withColumn("turn", turn)
+    # A gap takes as many pieces as it has tokens at most.
+    gaps = rows.where("of IS NOT NULL").groupBy("of", "turn").agg(
+        F.max(F.when(~is_piece, F.col("seq"))).alias("seq"), F.max(F.when(~is_piece, F.col("size"))).alias("room"),
+        F.collect_list(F.when(is_piece, F.struct("item", "size"))).alias("pieces"), F.sum(F.when(is_piece, F.col("size"))).alias("took"),
+    )
+    seq = F.col("seq").alias("seq")
+    took = F.transform("pieces", lambda p: F.struct(F.lit(PLACED).alias("kind"), p["item"].alias("item"), p["size"].alias("size"), seq))
+    rest = F.struct(F.lit(GAP).alias("kind"), F.col("seq").alias("item"), (F.col("room") - F.coalesce("took", F.lit(0))).cast("int").alias("size"), seq)
+    met = gaps.select(F.inline(F.concat(took, F.array(rest))))
+    return rows.where("of IS NULL").select("kind", "item", "size", "seq").union(met.where("size > 0"))
 
 
 def _measures() -> dict:
@@ -216,20 +222,14 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed = [full]
     while measured["rows"] > LAST_ROWS and measured["pieces"]:
         swept = landed(_round(state, capacity, measured["rows"], measured["largest_gap"] or 0, measured["largest_piece"]), "packing-sweep")
-        left = swept.where(F.col("kind") != PLACED).groupBy("part").agg(
-            F.count(F.when(F.col("kind") == PIECE, 1)).alias("pieces"), F.max(F.when(F.col("kind") == PIECE, F.col("size"))).alias("largest"),
-            F.count(F.when(F.col("kind") == GAP, 1)).alias("gaps"), F.min(F.when(F.col("kind") == GAP, F.col("size"))).alias("smallest"),
-        )
-        parts = sorted(tuple(r) for r in left.collect())  # a row per partition of the sweep
-        matches = match_leftovers(parts)
-        if matches:
-            counted, top = [], {p[0]: p[1] for p in parts}
-            for k, (gap_part, first_gap, n_gaps, piece_part, first_piece, each) in enumerate(matches):
-                counted.append((gap_part, first_gap, n_gaps, piece_part, first_piece, top[piece_part] - first_piece, each, k))
-                top[piece_part] = first_piece
-            rows = _meet(swept, counted)
-        else:
-            rows = swept.select("kind", "item", "size", "seq")
+        counted = swept.where(F.col("kind") == COUNTED).select("part", "item", "size", "seq", "rank")
+        parts = sorted(tuple(r) for r in counted.collect())  # a row per partition of the sweep
+        matches, top = [], {p[0]: p[1] for p in parts}
+        for k, (gap_part, first_gap, n_gaps, piece_part, first_piece, each) in enumerate(match_leftovers(parts)):
+            matches.append((PIECE, piece_part, first_piece, top[piece_part], each, k))
+            matches.append((GAP, gap_part, first_gap, first_gap + n_gaps, 1, k))
+            top[piece_part] = first_piece
+        rows = _meet(swept, matches) if matches else swept.where(F.col("kind") != COUNTED).select("kind", "item", "size", "seq")
         rows, measured = landed_observed(rows, "packing-round", **_measures())
         placed.append(rows.where(F.col("kind") == PLACED).select("item", "seq", "size"))
         state = rows.where(F.col("kind") != PLACED)
