@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
-#: Words remembered for a task, as they stand or in their plain form; beyond it the memory starts anew.
-REMEMBERED = 600_000
+#: Bytes of words remembered since the memory last started anew, with what an entry takes besides its
+#: word and ids. The words before that are kept too, until it starts anew again.
+REMEMBERED, ENTRY = 80_000_000, 180
 #: Texts whose words are looked up together, and new words encoded in one call.
 TEXTS, WORDS = 256, 200
 #: Marks cut off the end of a word; they never share a token with the letter before them.
 MARKS = b".,!?;:#$%&*"
+#: A mark after an ASCII letter or digit, where a space changes no token.
+MARK = re.compile(rb"[.,!?;:#$%&*](?<=[A-Za-z0-9].)")
 
 
 @lru_cache(maxsize=2)
@@ -38,13 +42,15 @@ class WordEncoder:
 
     The ids of a text are then those of its words between ASCII spaces, one after another. A word
     is looked up as it stands, else as its plain form (small ASCII letters) and the marks after
-    it; only unknown plain forms are encoded, many in a call. One object serves one task, so its
-    memory is freed with the task.
+    it; only unknown plain forms are encoded, many in a call. Memory is bounded by the words of a
+    call of `encode` and twice REMEMBERED bytes.
     """
 
     def __init__(self, path: str):
         self._tokenizer, self._ends = _tokenizer(path)
         self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+        self._size = 0
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
@@ -81,12 +87,20 @@ class WordEncoder:
             self._known[words[k]] = np.array(code.ids, "<u4").tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
-        known, parts = self._known, self._parts
+        known, older, parts = self._known, self._older, self._parts
+        before = len(known)
+        if older:
+            again = words.intersection(older)
+            known.update(zip(again, map(older.__getitem__, again)))
+            words = words - again
         plain = {w for w in words if w.isalpha() and w.islower()}  # of bytes: small ASCII letters
         other = [(w, *parts(w)) for w in words - plain]
         plain.update(base for _, base, _ in other)
         plain.update(marks for _, _, marks in other if marks)
         new = [w for w in plain if w not in known]
+        if older:
+            known.update((w, older[w]) for w in new if w in older)
+            new = [w for w in new if w not in known]
         if new:
             self._encode_plain(new)
         for word, base, marks in other:
@@ -94,12 +108,18 @@ class WordEncoder:
                 known[word] = known[base] + known[marks]
             elif word is not base:
                 known[word] = known[base]
+        added = len(known) - before
+        for part in (known.keys(), known.values()):
+            self._size += sum(map(len, islice(reversed(part), added)))
+        self._size += ENTRY * added
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
         out: list[bytes] = []
         for at in range(0, len(texts), TEXTS):
-            words = [text.split() for text in texts[at : at + TEXTS]]
+            words = [MARK.sub(rb" \g<0>", text).split() for text in texts[at : at + TEXTS]]
+            if self._size > REMEMBERED:
+                self._older, self._known, self._size = self._known, {}, 0
             ids, strange = [], []
             for k, w in enumerate(words):
                 try:
@@ -108,13 +128,14 @@ class WordEncoder:
                     ids.append(b"")
                     strange.append(k)
             if strange:
-                wanted = set(chain.from_iterable(words[k] for k in strange))
-                new = wanted.difference(self._known)
-                if len(self._known) + len(new) > REMEMBERED:
-                    self._known.clear()
-                    new = wanted
-                self._learn(new)
+                self._learn(set(chain.from_iterable(words[k] for k in strange)).difference(self._known))
                 for k in strange:
                     ids[k] = b"".join(map(self._known.__getitem__, words[k]))
             out += ids
         return out
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a worker process, whose tasks run one after another and share its memory."""
+    return WordEncoder(path)
