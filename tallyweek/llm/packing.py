@@ -189,7 +189,8 @@ def _meet(swept: DataFrame, matches: list[tuple]) -> DataFrame:
     is_piece = F.col("kind") == PIECE
     # The largest pieces go to the first gaps, which are the smallest and fit them all.
     turn = F.when(is_piece, F.floor((F.col("end") - 1 - F.col("rank")) / F.col("each"))).otherwise(F.col("rank") - F.col("begin"))
-    rows = swept.where(F.col("kind") != COUNTED).join(F.broadcast(table), meant, "left").withColumn("turn", turn)
+    placed = swept.where(F.col("kind") == PLACED).select("kind", "item", "size", "seq")
+    rows = swept.where(F.col("kind") < PLACED).join(F.broadcast(table), meant, "left").withColumn("turn", turn)
     # A gap takes as many pieces as it has tokens at most.
     gaps = rows.where("of IS NOT NULL").groupBy("of", "turn").agg(
         F.max(F.when(~is_piece, F.col("seq"))).alias("seq"), F.max(F.when(~is_piece, F.col("size"))).alias("room"),
@@ -199,7 +200,7 @@ def _meet(swept: DataFrame, matches: list[tuple]) -> DataFrame:
     took = F.transform("pieces", lambda p: F.struct(F.lit(PLACED).alias("kind"), p["item"].alias("item"), p["size"].alias("size"), seq))
     rest = F.struct(F.lit(GAP).alias("kind"), F.col("seq").alias("item"), (F.col("room") - F.coalesce("took", F.lit(0))).cast("int").alias("size"), seq)
     met = gaps.select(F.inline(F.concat(took, F.array(rest))))
-    return rows.where("of IS NULL").select("kind", "item", "size", "seq").union(met.where("size > 0"))
+    return placed.union(rows.where("of IS NULL").select("kind", "item", "size", "seq")).union(met.where("size > 0"))
 
 
 def _measures() -> dict:
