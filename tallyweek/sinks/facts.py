@@ -78,8 +78,9 @@ class Facts:
         folder: str, snaps: DataFrame, players: DataFrame, plays: DataFrame, *tracking: DataFrame, buckets: int | None = None
     ) -> None:
         """Derive and write them: snap rows with ids and opponents, play statistics per player and
-        game, and the three tracking tables under the player's key."""
-        buckets = buckets or buckets_for(snaps.count())
+        game, and the three tracking tables under the player's key. There are three buckets a core
+        at least, as a bucket is one task of every later step."""
+        buckets = buckets or buckets_for(snaps.count(), least=max(8, 3 * snaps.sparkSession.sparkContext.defaultParallelism))
         rows = opportunity.fill_opponents(opportunity.with_player_ids(snaps, players), game_opponents(plays))
         write_bucketed(rows, folder, "snaps", buckets)
         stats = opportunity.player_game_stats(plays).withColumnRenamed("gsis_id", "player_key")

@@ -1,5 +1,6 @@
 """Facts in buckets: the same report, and nothing moved on the player's season."""
 
+import json
 import re
 
 import pytest
@@ -62,3 +63,9 @@ def test_one_file_a_bucket_and_a_layout_for_other_sessions(spark, tmp_path):
     counted = other.groupBy("player_key", "season").count()
     assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString() and counted.count() == 150
     assert buckets_for(10) == 8 and buckets_for(10**9) == 500
+
+
+def test_every_core_has_buckets(spark, inputs, tmp_path):
+    Facts.land(str(tmp_path), *inputs[0])
+    buckets = {json.loads(p.read_text())["buckets"] for p in tmp_path.glob("*/_layout.json")}
+    assert len(buckets) == 1 and buckets.pop() >= 3 * spark.sparkContext.defaultParallelism
