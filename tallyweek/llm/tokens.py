@@ -2,22 +2,47 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes of words remembered since the memory last started anew, with what an entry takes besides its
 #: word and ids. The words before that are kept too, until it starts anew again.
-REMEMBERED, ENTRY = 80_000_000, 180
-#: Texts whose words are looked up together, and new words encoded in one call.
-TEXTS, WORDS = 256, 200
+REMEMBERED, ENTRY = 50_000_000, 180
+#: Most texts, and bytes of them, whose words are looked up together, and new words encoded in one call.
+TEXTS, PORTION, WORDS = 4096, 8 << 20, 200
 #: Marks cut off the end of a word; they never share a token with the letter before them.
 MARKS = b".,!?;:#$%&*"
-#: A mark after an ASCII letter or digit, where a space changes no token.
-MARK = re.compile(rb"[.,!?;:#$%&*](?<=[A-Za-z0-9].)")
+
+
+def _bytes_in(some: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(some)] = True
+    return table
+
+
+_SPACE, _MARK = _bytes_in(b" \t\n\r\x0b\x0c"), _bytes_in(MARKS)
+_PLAIN = _bytes_in(bytes([*range(48, 58), *range(65, 91), *range(97, 123)]))
+
+
+def cut_words(texts: Sequence[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The words between ASCII spaces of texts of less than 2 GB together, and how many each text has. A word
+    also begins at a mark after an ASCII letter or digit, where a space changes no token."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begins = np.cumsum(sizes) - sizes
+    solid = ~_SPACE[data]
+    first = np.empty(len(data), bool)
+    first[:1] = True
+    first[1:] = ~solid[:-1] | (_MARK[data[1:]] & _PLAIN[data[:-1]])
+    first[begins[sizes > 0]] = True
+    at = np.flatnonzero(first & solid)
+    places = np.concatenate([np.cumsum(solid, dtype=np.int32)[at] - 1, [np.count_nonzero(solid)]]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(places), pa.py_buffer(data[solid])])
+    return words, np.searchsorted(at, begins + sizes) - np.searchsorted(at, begins)
 
 
 @lru_cache(maxsize=2)
@@ -43,7 +68,7 @@ class WordEncoder:
     The ids of a text are then those of its words between ASCII spaces, one after another. A word
     is looked up as it stands, else as its plain form (small ASCII letters) and the marks after
     it; only unknown plain forms are encoded, many in a call. Memory is bounded by the words of a
-    call of `encode` and twice REMEMBERED bytes.
+    portion and twice REMEMBERED bytes.
     """
 
     def __init__(self, path: str):
@@ -113,25 +138,37 @@ class WordEncoder:
             self._size += sum(map(len, islice(reversed(part), added)))
         self._size += ENTRY * added
 
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of some different words."""
+        if self._size > REMEMBERED:
+            self._older, self._known, self._size = self._known, {}, 0
+        strange = {w for w in words if w not in self._known}
+        if strange:
+            self._learn(strange)
+        return list(map(self._known.__getitem__, words))
+
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
         out: list[bytes] = []
-        for at in range(0, len(texts), TEXTS):
-            words = [MARK.sub(rb" \g<0>", text).split() for text in texts[at : at + TEXTS]]
-            if self._size > REMEMBERED:
-                self._older, self._known, self._size = self._known, {}, 0
-            ids, strange = [], []
-            for k, w in enumerate(words):
-                try:
-                    ids.append(b"".join(map(self._known.__getitem__, w)))
-                except KeyError:
-                    ids.append(b"")
-                    strange.append(k)
-            if strange:
-                self._learn(set(chain.from_iterable(words[k] for k in strange)).difference(self._known))
-                for k in strange:
-                    ids[k] = b"".join(map(self._known.__getitem__, words[k]))
-            out += ids
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < min(len(texts), at + TEXTS) and (end == at or size + len(texts[end]) <= PORTION):
+                size += len(texts[end])
+                end += 1
+            words, counts = cut_words(texts[at:end])
+            coded = words.dictionary_encode()
+            ids = self._ids(coded.dictionary.to_pylist())
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            which = coded.indices.to_numpy()
+            before = np.concatenate([[0], np.cumsum(lengths[which])])
+            # Each word's ids are taken from where they begin, as many as it has.
+            place = np.repeat((np.cumsum(lengths) - lengths)[which] - before[:-1], lengths[which])
+            place += np.arange(before[-1])
+            found = np.frombuffer(b"".join(ids), "<u4")[place]
+            bounds = before[np.concatenate([[0], np.cumsum(counts)])].tolist()
+            out += [found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+            at = end
         return out
 
 
