@@ -6,8 +6,9 @@ A round takes all pieces not yet placed and all open gaps:
 2. Every partition sweeps its sizes upwards. A gap meets the unplaced pieces below it, takes its
    predecessor among them (the piece whose successor it is), and the next ones for the room that
    is left. Pieces larger than every open gap open new sequences, largest first, each filled with
-   the largest pieces of that zone that still fit; only the upper half of the sizes opens at once,
-   so that smaller pieces stay to fill what those leave.
+   the largest pieces of that zone that still fit. Only the upper half of the sizes opens at once,
+   so that smaller pieces stay to fill what those leave; where those are many more tokens, the sizes
+   that hold the upper half of all tokens do, as long as the open gaps need no more than the rest.
 3. What is left over in a partition has only its rank there. The counts per partition (a few
    numbers each, a row that its sweep writes) are matched from the smallest gaps up, and pieces and
    gaps with conflicting wishes meet by their ranks, in one aggregation by gap.
@@ -15,7 +16,8 @@ A round takes all pieces not yet placed and all open gaps:
    LAST_ROWS rows are one size range, for which one task runs the remaining rounds.
 
 Every round places something, and a gap is filled at least by half of what fits, so the number of
-rounds grows with the logarithm of the capacity, not with the rows.
+rounds grows with the logarithm of the capacity, not with the rows; a table of mostly short pieces
+loses half of its tokens in a round that opens sequences, so that few rounds move all of them.
 
 Defined results: a null text counts as empty and still gives the end token; repeated and null ids
 keep their rows; an empty table gives an empty result; other columns are ignored.
@@ -39,6 +41,8 @@ from tallyweek.llm.tokens import word_encoder
 CAPACITY, END_TOKEN = 4096, 1
 #: Rows swept by one task, partitions of a sweep where rows are fewer, and rows that one task packs to the end.
 TASK_ROWS, LEAST_TASKS, LAST_ROWS = 200_000, 8, 4_000
+#: Classes of sizes, by powers of two, whose tokens are counted.
+CLASSES = 16
 
 _PIECES = "id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -133,9 +137,20 @@ def match_leftovers(parts: list[tuple[int, int, int, int, int]]) -> list[tuple[i
     return out
 
 
-def _round(state: DataFrame, capacity: int, rows: int, largest_gap: int, largest_piece: int) -> DataFrame:
+def opening(measured: dict) -> tuple[int, int]:
+    """(largest gap that keeps pieces from opening, smallest size that opens) of a round with these ``_measures``."""
+    upper, tokens = measured["largest_piece"] // 2 + 1, measured["tokens"]
+    halves = [2**k for k in range(CLASSES) if 2 * measured[f"tokens_{k}"] >= tokens]
+    enough = max(halves, default=1)
+    # The gaps' room is left to pieces that don't open: those have half of the tokens less one class of sizes.
+    rest = tokens - measured[f"tokens_{enough.bit_length() - 1}"]
+    if enough < upper and measured["room"] <= rest:
+        return 0, enough
+    return measured["largest_gap"] or 0, upper
+
+
+def _round(state: DataFrame, capacity: int, rows: int, largest_gap: int, opens_from: int) -> DataFrame:
     tasks = max(LEAST_TASKS, -(-rows // TASK_ROWS))
-    opens_from = largest_piece // 2 + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list] = [[], [], []]
@@ -210,6 +225,10 @@ def _measures() -> dict:
         "rows": F.count(F.when(piece | gap, 1)),
         "largest_piece": F.max(F.when(piece, F.col("size"))),
         "largest_gap": F.max(F.when(gap, F.col("size"))),
+        "room": F.coalesce(F.sum(F.when(gap, F.col("size"))), F.lit(0)),
+        "tokens": F.coalesce(F.sum(F.when(piece, F.col("size"))), F.lit(0)),
+        # Tokens of the pieces of at least 2**k tokens.
+        **{f"tokens_{k}": F.coalesce(F.sum(F.when(piece & (F.col("size") >= 2**k), F.col("size"))), F.lit(0)) for k in range(CLASSES)},
     }
 
 
@@ -222,7 +241,7 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     measured = state.agg(*[c.alias(n) for n, c in _measures().items()]).first().asDict()
     placed = [full]
     while measured["rows"] > LAST_ROWS and measured["pieces"]:
-        swept = landed(_round(state, capacity, measured["rows"], measured["largest_gap"] or 0, measured["largest_piece"]), "packing-sweep")
+        swept = landed(_round(state, capacity, measured["rows"], *opening(measured)), "packing-sweep")
         counted = swept.where(F.col("kind") == COUNTED).select("part", "item", "size", "seq", "rank")
         parts = sorted(tuple(r) for r in counted.collect())  # a row per partition of the sweep
         matches, top = [], {p[0]: p[1] for p in parts}

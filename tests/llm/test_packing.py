@@ -1,6 +1,7 @@
 """Packing: tokens as the library gives them, whole and dense sequences, the sweep and the ranks."""
 
 import random
+import re
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from zlib import crc32
@@ -95,3 +96,22 @@ def test_leftovers_match_by_rank():
     parts = [(0, 5, 10, 0, None), (1, 2, 40, 1, 25), (2, 0, None, 3, 90)]
     matches = packing.match_leftovers(parts)
     assert matches == [(1, 0, 1, 0, 3, 2), (2, 0, 1, 1, 0, 2), (2, 1, 1, 0, 0, 9)]
+
+
+def test_words_are_cut_at_spaces_and_marks():
+    texts = [b"", b" a.b  c,.\x0b1.5,2", "é.é, ü!".encode(), b".x", b" ", b"x\t\n"]
+    words, counts = tokens.cut_words(texts)
+    expected = [re.sub(rb"(?<=[A-Za-z0-9])([.,!?;:#$%&*])", rb" \1", t).split() for t in texts]
+    assert words.to_pylist() == [w for ws in expected for w in ws] and counts.tolist() == [len(ws) for ws in expected]
+
+
+def test_mostly_short_pieces_open_by_their_tokens():
+    """A few long pieces don't keep the many short ones waiting round after round."""
+    def measured(sizes, gaps=()):
+        tokens_at = {f"tokens_{k}": sum(s for s in sizes if s >= 2**k) for k in range(packing.CLASSES)}
+        return {"largest_piece": max(sizes), "largest_gap": max(gaps, default=None), "room": sum(gaps), "tokens": sum(sizes), **tokens_at}
+
+    assert packing.opening(measured([4000, *[100] * 900, *[20] * 400])) == (0, 64)
+    assert packing.opening(measured([4000, *[100] * 900, *[20] * 400], gaps=[3000])) == (0, 64)
+    assert packing.opening(measured([*[4000] * 50, *[100] * 900])) == (0, 2001)
+    assert packing.opening(measured([100] * 900, gaps=[3000])) == (3000, 51)
