@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweek.llm import packing, quality, repeats, secrets, simhash
-from tallyweek.llm.shared import landed, numbered
+from tallyweek.llm.shared import landed, numbered, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Repeated passages: strings of so many bytes, found by so many of them, that hold so many words.
@@ -24,6 +24,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject, at its score of 0.7."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
     scorer = quality.fit(docs, labels.where(fold != 2))
@@ -33,6 +34,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest id stays; rows without an id come last."""
+    small_batches(spark)
     rows = numbered(docs.select(*COLUMNS), "numbered")
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row")
     found = simhash.near_duplicates(rows.select(place.alias("place"), "text"), id_col="place")
@@ -45,6 +47,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     They are looked for as repeated strings of PASSAGE_BYTES, which 50 words hardly ever fall short
     of. A cut inside a character leaves bytes that are no UTF-8; they become the replacement character."""
+    small_batches(spark)
     rows = docs.select(*COLUMNS).withColumn("had_text", F.col("text").isNotNull())
     more = ["lang", "source", "n_chars", "had_text"]
     kept = repeats.remove_repeats(rows, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, least_words=PASSAGE_WORDS, keep=more)
@@ -56,6 +59,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
+    small_batches(spark)
     before = docs.select(*COLUMNS).withColumn("old", F.length("text"))
     rows = secrets.redact(before)
     changed = F.when(F.length("text") != F.col("old"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
@@ -64,6 +68,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a training sequence."""
+    small_batches(spark)
     rows = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return rows.withColumnRenamed("id", "doc_id")
 

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -35,8 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import landed, landed_observed, numbered, text_bytes, values
-from tallyweek.llm.tokens import word_encoder
+from tallyweek.llm.shared import landed, landed_observed, numbered, portions, text_bytes, tidy, values
+from tallyweek.llm.tokens import PORTION, TEXTS, word_encoder
 
 CAPACITY, END_TOKEN = 4096, 1
 #: Rows swept by one task, partitions of a sweep where rows are fewer, and rows that one task packs to the end.
@@ -55,7 +56,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_token:
         encoder, end = word_encoder(tokenizer), np.array([end_token], "<u4").tobytes()
         for batch in batches:
             out = []
-            for i, ids in zip(batch.column(0), encoder.encode(batch.column(1).to_pylist())):
+            coded = chain.from_iterable(map(encoder.encode, portions(batch.column(1), PORTION, TEXTS)))
+            for i, ids in zip(batch.column(0), coded):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
@@ -67,7 +69,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_token:
             )
 
     rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    return rows.mapInArrow(run, _PIECES.format(kind=docs.schema[id_col].dataType.simpleString()))
+    return rows.mapInArrow(tidy(run), _PIECES.format(kind=docs.schema[id_col].dataType.simpleString()))
 
 
 #: Kinds of rows; of a COUNTED one item, size, seq and rank are the pieces left, the largest, the gaps left and the smallest.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import text_bytes
+from tallyweek.llm.shared import portions, text_bytes, tidy
 
 #: Bytes of a passage; it ends at the next white space.
 PASSAGE = 512
@@ -114,22 +114,16 @@ def _features(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def encode_passages(texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def encode_passages(texts: pa.Array | Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(features, number of passages of each text), for portions of the texts in order."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= PORTION):
-            size += len(texts[end])
-            end += 1
+    for some in portions(texts, PORTION):
         starts, counts, base = [], [], 0
-        for text in texts[at:end]:
+        for text in some:
             own = passage_starts(np.frombuffer(text, np.uint8))
             starts.append(own + base)
             counts.append(len(own))
             base += len(text)
-        yield _features(np.frombuffer(b"".join(texts[at:end]), np.uint8), np.concatenate(starts)), np.array(counts)
-        at = end
+        yield _features(np.frombuffer(b"".join(some), np.uint8), np.concatenate(starts)), np.array(counts)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -210,14 +204,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            for x, counts in encode_passages(batch.column(1).to_pylist()):
+            for x, counts in encode_passages(batch.column(1)):
                 for bag in np.split(x, np.cumsum(counts)[:-1]):
                     few = np.unique(np.linspace(0, len(bag) - 1, TRAINING_PASSAGES).astype(int))
                     kept.append(bag[few].astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(kept, pa.binary())], names=["id", "label", "bag"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.select("id", "text", "label").mapInArrow(run, f"id {kind}, label double, bag binary")
+    found = rows.select("id", "text", "label").mapInArrow(tidy(run), f"id {kind}, label double, bag binary")
     # A repeated id could outgrow the bound; one of its texts is taken.
     taken = found.groupBy("id").agg(F.min("label").alias("label"), F.min("bag").alias("bag")).orderBy(F.xxhash64("id"), "id").limit(docs_limit).collect()
     y = np.array([r["label"] for r in taken])
@@ -232,11 +226,11 @@ def score(docs: DataFrame, scorer: Callable, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [scorer(x, counts) for x, counts in encode_passages(batch.column(1).to_pylist())]
+            parts = [scorer(x, counts) for x, counts in encode_passages(batch.column(1))]
             scores = pa.array(np.concatenate(parts) if parts else np.zeros(0))
             yield pa.RecordBatch.from_arrays([batch.column(0), scores, *batch.columns[2:]], schema=pa.schema([batch.schema.field(0), ("score", pa.float64()), *list(batch.schema)[2:]]))
 
     rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("__text"), *keep)
     kind = docs.schema[id_col].dataType.simpleString()
     more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"id {kind}, score double{more}")
+    return rows.mapInArrow(tidy(run), f"id {kind}, score double{more}")

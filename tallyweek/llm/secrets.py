@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.llm.shared import values
+from tallyweek.llm.shared import tidy, values
 
 #: The base patterns, in their order, and the least length of what they find.
 KINDS = ["assign", "access", "hex", "named"]
@@ -306,4 +306,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text") -> D
             columns[place] = pa.array(out, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.llm.components import star_components
-from tallyweek.llm.shared import landed, landed_observed, text_bytes, values
+from tallyweek.llm.shared import landed, landed_observed, portions, text_bytes, tidy, values
 
 BITS = 64
 #: Shingles are summed up in portions of this many, which bounds the memory of very long texts.
 PORTION = 1 << 16
+#: Bytes of texts that are copied out of Arrow at once.
+TEXTS = 1 << 21
 #: A bucket with more fingerprints is linked through shared neighbours instead of by its pairs.
 BUCKET = 128
 #: Cost of a probe row against one verified candidate.
@@ -82,12 +84,13 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = simhash_batch(batch.column(1).to_pylist(), width).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=["id", "fp"])
+            parts = [simhash_batch(texts, width).view(np.int64) for texts in portions(batch.column(1), TEXTS)]
+            prints = pa.array(np.concatenate(parts) if parts else [], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), prints], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, fp bigint")
+    return rows.mapInArrow(tidy(run), f"id {kind}, fp bigint")
 
 
 def joint_bit_counts(prints: DataFrame) -> np.ndarray:

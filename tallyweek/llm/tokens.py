@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from functools import lru_cache
 from itertools import islice
@@ -9,11 +10,15 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 
+from tallyweek.llm.shared import portions
+
 #: Bytes of words remembered since the memory last started anew, with what an entry takes besides its
 #: word and ids. The words before that are kept too, until it starts anew again.
 REMEMBERED, ENTRY = 50_000_000, 180
-#: Most texts, and bytes of them, whose words are looked up together, and new words encoded in one call.
-TEXTS, PORTION, WORDS = 4096, 8 << 20, 200
+#: Most texts, and bytes of them, whose words are looked up together, new words encoded as one text, and in one call.
+TEXTS, PORTION, WORDS, CALL = 4096, 8 << 20, 200, 4000
+#: Bytes of texts that are cut into words and put together from ids at once: numbers of every byte are held.
+BLOCK = 1 << 19
 #: Marks cut off the end of a word; they never share a token with the letter before them.
 MARKS = b".,!?;:#$%&*"
 
@@ -48,6 +53,7 @@ def cut_words(texts: Sequence[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> tuple:
     """The tokenizer, and which ids end a word."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and threads hold memory
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -96,20 +102,24 @@ class WordEncoder:
         texts = [w.decode("utf-8", "replace") for w in words]
         simple = [k for k, t in enumerate(texts) if _letters(t)]
         groups = [simple[a : a + WORDS] for a in range(0, len(simple), WORDS)]
-        coded = self._tokenizer.encode_batch_fast([" ".join(texts[k] for k in g) for g in groups], add_special_tokens=False)
         done: set[int] = set()
-        for group, code in zip(groups, coded):
-            ids = np.array(code.ids, "<u4")
-            cuts = np.flatnonzero(self._ends[ids]) + 1
-            if len(cuts) == len(group):
-                data, begin = ids.tobytes(), 0
-                for k, end in zip(group, (4 * cuts).tolist()):
-                    self._known[words[k]] = data[begin:end]
-                    begin = end
-                done.update(group)
+        for at in range(0, len(groups), CALL // WORDS):
+            some = groups[at : at + CALL // WORDS]
+            coded = self._tokenizer.encode_batch_fast([" ".join(texts[k] for k in g) for g in some], add_special_tokens=False)
+            for group, code in zip(some, coded):
+                ids = np.array(code.ids, "<u4")
+                cuts = np.flatnonzero(self._ends[ids]) + 1
+                if len(cuts) == len(group):
+                    data, begin = ids.tobytes(), 0
+                    for k, end in zip(group, (4 * cuts).tolist()):
+                        self._known[words[k]] = data[begin:end]
+                        begin = end
+                    done.update(group)
         rest = [k for k in range(len(words)) if k not in done]
-        for k, code in zip(rest, self._tokenizer.encode_batch([texts[k] for k in rest], add_special_tokens=False)):
-            self._known[words[k]] = np.array(code.ids, "<u4").tobytes()
+        for at in range(0, len(rest), CALL):
+            some = rest[at : at + CALL]
+            for k, code in zip(some, self._tokenizer.encode_batch([texts[k] for k in some], add_special_tokens=False)):
+                self._known[words[k]] = np.array(code.ids, "<u4").tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
         known, older, parts = self._known, self._older, self._parts
@@ -150,25 +160,23 @@ class WordEncoder:
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit numbers."""
         out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < min(len(texts), at + TEXTS) and (end == at or size + len(texts[end]) <= PORTION):
-                size += len(texts[end])
-                end += 1
-            words, counts = cut_words(texts[at:end])
-            coded = words.dictionary_encode()
+        for some in portions(texts, PORTION, TEXTS):
+            blocks = [cut_words(block) for block in portions(some, BLOCK)]
+            coded = pa.concat_arrays([words for words, _ in blocks]).dictionary_encode()
             ids = self._ids(coded.dictionary.to_pylist())
             lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            which = coded.indices.to_numpy()
-            before = np.concatenate([[0], np.cumsum(lengths[which])])
-            # Each word's ids are taken from where they begin, as many as it has.
-            place = np.repeat((np.cumsum(lengths) - lengths)[which] - before[:-1], lengths[which])
-            place += np.arange(before[-1])
-            found = np.frombuffer(b"".join(ids), "<u4")[place]
-            bounds = before[np.concatenate([[0], np.cumsum(counts)])].tolist()
-            out += [found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
-            at = end
+            begins = np.cumsum(lengths) - lengths
+            joined, at = np.frombuffer(b"".join(ids), "<u4"), 0
+            for words, counts in blocks:
+                which = coded.indices.slice(at, len(words)).to_numpy()
+                at += len(words)
+                before = np.concatenate([[0], np.cumsum(lengths[which])])
+                # Each word's ids are taken from where they begin, as many as it has.
+                place = np.repeat(begins[which] - before[:-1], lengths[which])
+                place += np.arange(before[-1])
+                found = joined[place]
+                bounds = before[np.concatenate([[0], np.cumsum(counts)])].tolist()
+                out += [found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
         return out
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from zlib import crc32
@@ -115,3 +116,23 @@ def test_mostly_short_pieces_open_by_their_tokens():
     assert packing.opening(measured([4000, *[100] * 900, *[20] * 400], gaps=[3000])) == (0, 64)
     assert packing.opening(measured([*[4000] * 50, *[100] * 900])) == (0, 2001)
     assert packing.opening(measured([100] * 900, gaps=[3000])) == (3000, 51)
+
+
+def test_encoder_works_in_blocks(monkeypatch):
+    """Blocks and calls of any size give the same ids, and numbers of every byte are held for one block only."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(1, 9))) + rnd.choice(["", ",", ".", "é", "7"]) for _ in range(3000)]
+    texts = [" ".join(rnd.choices(words, k=rnd.choice([0, 1, 300]))).encode() for _ in range(200)] + [b"", b" \n ", b"x"]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = tokens.WordEncoder(path).encode(texts)
+    monkeypatch.setattr(tokens, "BLOCK", 50)
+    monkeypatch.setattr(tokens, "CALL", 400)
+    assert tokens.WordEncoder(path).encode(texts) == whole
+    monkeypatch.undo()
+    encoder, long = tokens.WordEncoder(path), [" ".join(rnd.choices(words, k=2000)).encode() for _ in range(600)]
+    encoder.encode(long)
+    tracemalloc.start()
+    encoder.encode(long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 7 * sum(map(len, long))

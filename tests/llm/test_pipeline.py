@@ -83,3 +83,16 @@ def test_packing_of_odd_rows(spark, corpus):
 def test_secrets_are_marked(spark, corpus):
     got = {r.doc_id: r for r in corpus_pipeline.no_secrets(spark, corpus, SF).collect()}
     assert got[52].text == '[SECRET]"' and got[52].n_chars == 9 and got[0].n_chars == 1
+
+
+def test_batches_stay_small_in_every_stage(spark, corpus):
+    """Also in frames that the caller of a stage writes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for _, run in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        run(spark, corpus.where("false"), SF)
+        assert spark.conf.get(key) == str(8 << 20)
+    spark.conf.set(key, "1000000")
+    corpus_pipeline.no_secrets(spark, corpus, SF)
+    assert spark.conf.get(key) == "1000000"
+    spark.conf.unset(key)
